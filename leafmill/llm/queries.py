@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from leafmill.llm import fingerprints
+from leafmill.llm import contamination, fingerprints
 from leafmill.llm.common import table
 
 QUERIES = {
+    "op10_decontamination": lambda spark, sf_dir: contamination.contaminated_spans(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
     "op7_fingerprints": lambda spark, sf_dir: fingerprints.fingerprints(table(spark, sf_dir, "documents")),
 }
 
 ORACLES = {
+    "op10_decontamination": contamination.ORACLE_SQL,
     "op7_fingerprints": fingerprints.ORACLE_SQL,
 }
