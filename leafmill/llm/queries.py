@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from leafmill.llm import contamination, fingerprints
+from leafmill.llm import contamination, fingerprints, neardup
 from leafmill.llm.common import table
 
 QUERIES = {
+    "op4_near_duplicates": lambda spark, sf_dir: neardup.near_duplicates(table(spark, sf_dir, "documents")),
     "op10_decontamination": lambda spark, sf_dir: contamination.contaminated_spans(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
     "op7_fingerprints": lambda spark, sf_dir: fingerprints.fingerprints(table(spark, sf_dir, "documents")),
 }
