@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from leafmill.llm import contamination, fingerprints, neardup
+from leafmill.llm import contamination, fingerprints, linededup, neardup
 from leafmill.llm.common import table
 
 QUERIES = {
+    "op2_line_dedup": lambda spark, sf_dir: linededup.deduplicated(table(spark, sf_dir, "documents")).select("doc_id", "text"),
     "op4_near_duplicates": lambda spark, sf_dir: neardup.near_duplicates(table(spark, sf_dir, "documents")),
     "op10_decontamination": lambda spark, sf_dir: contamination.contaminated_spans(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
     "op7_fingerprints": lambda spark, sf_dir: fingerprints.fingerprints(table(spark, sf_dir, "documents")),
 }
 
 ORACLES = {
+    "op2_line_dedup": linededup.ORACLE_SQL,
     "op10_decontamination": contamination.ORACLE_SQL,
     "op7_fingerprints": fingerprints.ORACLE_SQL,
 }
