@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.llm.common import cut, pieces, row_key
@@ -198,7 +198,10 @@ def copies(docs: DataFrame, threshold: float = THRESHOLD, slack: float = SLACK)
     sigs = cut(signatures(docs))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first")
     contents = sigs.groupBy("full").agg(F.count("*").alias("n"), first, F.first("packed").alias("packed"), F.first("bands").alias("bands"))
-    buckets = contents.select("full", "packed", F.explode("bands").alias("key")).repartition("key").sortWithinPartitions("key", "full")
+    # band keys travel without signatures; only texts that share one are joined with theirs
+    keyed = contents.select("full", F.explode("bands").alias("key"))
+    alive = keyed.withColumn("m", F.count("*").over(Window.partitionBy("key"))).where("m > 1").select("full", "key")
+    buckets = alive.join(contents.select("full", "packed"), "full").repartition("key").sortWithinPartitions("key", "full")
     labels = components(buckets.mapInArrow(bucket_edges(threshold, slack), "a bigint, b bigint"))
     shared = sigs.groupBy("full").agg(F.count("*").alias("n"), first).join(labels, F.col("full") == F.col("node"), "left").where("n > 1 or root is not null").select("full", "first", F.coalesce("root", "full").alias("root"))
     kept = shared.groupBy("root").agg(F.min("first").alias("kept"))
