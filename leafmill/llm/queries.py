@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from leafmill.llm import contamination, fingerprints, linededup, neardup, toxicity
+from leafmill.llm import contamination, fingerprints, linededup, mixing, neardup, toxicity
 from leafmill.llm.common import table
 
 QUERIES = {
+    "op5_mixing": lambda spark, sf_dir: mixing.mixed(table(spark, sf_dir, "documents")).select("doc_id", "source", "copy", "n_chars", "text"),
     "op3_toxicity": lambda spark, sf_dir: toxicity.toxic_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op2_line_dedup": lambda spark, sf_dir: linededup.deduplicated(table(spark, sf_dir, "documents")).select("doc_id", "text"),
     "op4_near_duplicates": lambda spark, sf_dir: neardup.near_duplicates(table(spark, sf_dir, "documents")),
