@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from leafmill.llm import contamination, fingerprints, linededup, mixing, neardup, toxicity
 from leafmill.llm.common import table
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op5_mixing": lambda spark, sf_dir: mixing.mixed(table(spark, sf_dir, "documents")).select("doc_id", "source", "copy", "n_chars", "text"),
     "op3_toxicity": lambda spark, sf_dir: toxicity.toxic_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op2_line_dedup": lambda spark, sf_dir: linededup.deduplicated(table(spark, sf_dir, "documents")).select("doc_id", "text"),
@@ -19,3 +21,6 @@ ORACLES = {
     "op10_decontamination": contamination.ORACLE_SQL,
     "op7_fingerprints": fingerprints.ORACLE_SQL,
 }
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
