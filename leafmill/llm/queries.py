@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from leafmill.llm import contamination, fingerprints, linededup, mixing, neardup, pii, toxicity
+from leafmill.llm import contamination, fingerprints, linededup, mixing, neardup, pii, suffixes, toxicity
 from leafmill.llm.common import table
 
 QUERIES = {
+    "op6_suffix_dedup": lambda spark, sf_dir: suffixes.repeated_spans(table(spark, sf_dir, "documents")),
     "op1_pii": lambda spark, sf_dir: pii.personal_data(table(spark, sf_dir, "documents")),
     "pipeline": corpus_pipeline.run,
     "op5_mixing": lambda spark, sf_dir: mixing.mixed(table(spark, sf_dir, "documents")).select("doc_id", "source", "copy", "n_chars", "text"),

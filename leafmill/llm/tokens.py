@@ -21,7 +21,7 @@ def byte_values() -> np.ndarray:
 def not_space() -> np.ndarray:
     """Word bytes: all but ASCII white space."""
     t = np.ones(256, dtype=bool)
-    t[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = False
+    t[[9, 10, 11, 12, 13, 32]] = False
     return t
 
 
