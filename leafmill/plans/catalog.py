@@ -187,10 +187,10 @@ def order_cells(spark, sf_dir):
     return layout.table_confidence(layout.cell_confidence(cells, words))
 
 
-@query(f"WITH {WORDS_SQL} SELECT d AS doc_id, round(average, 6) AS average_cell_confidence, round(least, 6) AS min_cell_confidence, cell_count, unmatched AS unmatched_cells, round(least, 6) < 0.75 AS requires_ocr FROM confident")
+@query(f"WITH {WORDS_SQL} SELECT d AS doc_id, round(average + 1e-9, 6) AS average_cell_confidence, round(least + 1e-9, 6) AS min_cell_confidence, cell_count, unmatched AS unmatched_cells, round(least + 1e-9, 6) < 0.75 AS requires_ocr FROM confident")
 def table_confidence(spark, sf_dir):
-    least = F.round("min_cell_confidence", 6)
-    return order_cells(spark, sf_dir).select("doc_id", F.round("average_cell_confidence", 6).alias("average_cell_confidence"), least.alias("min_cell_confidence"), "cell_count", "unmatched_cells", (least < 0.75).alias("requires_ocr"))
+    least = F.round(F.col("min_cell_confidence") + 1e-9, 6)
+    return order_cells(spark, sf_dir).select("doc_id", F.round(F.col("average_cell_confidence") + 1e-9, 6).alias("average_cell_confidence"), least.alias("min_cell_confidence"), "cell_count", "unmatched_cells", (least < 0.75).alias("requires_ocr"))
 
 
 @query("""
