@@ -69,12 +69,25 @@ def summed(rows: np.ndarray, to: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def word_hashes(words: Words, powers: Powers, limit: int = 1 << 20) -> np.ndarray:
+    """The words' hashes, taken for about limit bytes at a time to bound memory."""
+    out, i = [np.zeros(0, dtype=np.uint64)], 0
+    while i < len(words):
+        a = words.starts[i]
+        j = max(i + 1, int(np.searchsorted(words.ends, a + limit, side="right")))
+        part = object.__new__(Words)
+        part.data, part.starts, part.ends = words.data[a : words.ends[j - 1]], words.starts[i:j] - a, words.ends[i:j] - a
+        out.append(part.hashes(byte_values(), powers))
+        i = j
+    return np.concatenate(out)
+
+
 class Encoded:
     """Distinct words of a batch of texts and the texts' windows as rows of word numbers (-1 pads)."""
 
     def __init__(self, texts: pa.Array, powers: Powers) -> None:
         words = Words(*buffer_of(pc.utf8_lower(texts.cast(pa.large_string()))), alphanumeric())
-        hashes = words.hashes(byte_values(), powers)
+        hashes = word_hashes(words, powers)
         self.keys, where, number = np.unique(hashes, return_index=True, return_inverse=True)
         starts, sizes = words.starts[where], (words.ends - words.starts)[where]
         self.gram_starts, self.gram_sizes = np.cumsum(sizes) - sizes, sizes
@@ -85,10 +98,11 @@ class Encoded:
         nth = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
         count = self.counts[self.text]
         self.start = np.minimum(nth * STRIDE, np.maximum(count - WINDOW, 0))
-        place = self.start[:, None] + np.arange(WINDOW)
-        inside = place < count[:, None]
-        place = np.where(inside, place + words.first[:-1][self.text][:, None], 0)
-        self.windows = np.where(inside, number[place] if len(number) else 0, -1).astype(np.int32)
+        number, first = number.astype(np.int32), words.first[:-1][self.text]
+        self.windows = np.full((len(self.text), WINDOW), -1, dtype=np.int32)
+        for j in range(WINDOW):
+            inside = self.start + j < count
+            self.windows[inside, j] = number[(first + self.start + j)[inside]]
 
 
 class Network:
@@ -203,31 +217,45 @@ def trained(texts: list[str], toxic: list[int]) -> Network | None:
     """The network fitted to texts and their labels; None where there is nothing to tell apart."""
     if not texts:
         return None
-    grams, bounds = shingle_hashes(pa.array(texts, type=pa.large_string()), 3, Powers())
-    has = np.flatnonzero(np.diff(bounds) > 0)
-    if not len(has):
+    has, mins, powers = [], [np.zeros((0, 64), dtype=np.uint32)], Powers()
+    for i in range(0, len(texts), 64):  # a few texts at a time, to bound memory
+        grams, bounds = shingle_hashes(pa.array(texts[i : i + 64], type=pa.large_string()), 3, powers)
+        some = np.flatnonzero(np.diff(bounds) > 0)
+        if len(some):
+            has += (i + some).tolist()
+            mins.append(minima(grams, bounds, 64))
+    if not has:
         return None
     # of near copies in the sample the first speaks for all, so that no single text's words seem frequent
-    mins, first = minima(grams, bounds, 64), {}
-    own = [i for i, row in zip(has.tolist(), mins) if min([first.setdefault((j, row[j : j + 3].tobytes()), i) for j in range(0, 63, 3)]) == i]
+    mins, first = np.concatenate(mins), {}
+    own = [i for i, row in zip(has, mins) if min([first.setdefault((j, row[j : j + 3].tobytes()), i) for j in range(0, 63, 3)]) == i]
     texts, y = [texts[i] for i in own], np.array([toxic[i] for i in own], dtype=np.float32)
     if y.min() == y.max():
         return None
     e = Encoded(pa.array(texts, type=pa.large_string()), Powers())
     # words of MIN_TEXTS texts have a vector of their own; its first value starts as their lift
-    in_text, word = np.unique(np.stack([np.repeat(e.text, WINDOW)[e.windows.reshape(-1) >= 0], e.windows[e.windows >= 0]]), axis=1)
-    among = np.bincount(word, minlength=len(e.keys))
-    high = np.bincount(word, weights=y[in_text], minlength=len(e.keys))
+    blocks = []  # (text, word) once each, for some texts at a time
+    for i in range(0, len(texts), 256):
+        lo, hi = np.searchsorted(e.text, [i, i + 256])
+        key = np.repeat(e.text[lo:hi], WINDOW).reshape(-1, WINDOW) << 32 | np.maximum(e.windows[lo:hi], 0)
+        key = np.unique(key[e.windows[lo:hi] >= 0])
+        blocks.append((key >> 32, key & 0xFFFFFFFF))
+    among, high = np.zeros(len(e.keys), dtype=np.int64), np.zeros(len(e.keys))
+    for in_text, word in blocks:
+        among += np.bincount(word, minlength=len(e.keys))
+        high += np.bincount(word, weights=y[in_text], minlength=len(e.keys))
     frequent = np.flatnonzero(among >= MIN_TEXTS)
     net = Network(e.keys[frequent])
     net.p["word"][1:, 0] = lift(high, among, y.mean())[frequent]
     for grams in e.grams:  # and so do those of byte runs
-        sizes = e.gram_sizes[word]
-        at = np.repeat(e.gram_starts[word], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        pair = np.unique(np.repeat(in_text, sizes).astype(np.int64) << 32 | grams[at])
-        text, bucket = pair >> 32, pair & 0xFFFFFFFF
-        among = np.bincount(bucket, minlength=1 << BUCKET_BITS)
-        high = np.bincount(bucket, weights=y[text], minlength=1 << BUCKET_BITS)
+        among, high = np.zeros(1 << BUCKET_BITS, dtype=np.int64), np.zeros(1 << BUCKET_BITS)
+        for in_text, word in blocks:
+            sizes = e.gram_sizes[word]
+            at = np.repeat(e.gram_starts[word], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            pair = np.unique(np.repeat(in_text, sizes).astype(np.int64) << 32 | grams[at])
+            text, bucket = pair >> 32, pair & 0xFFFFFFFF
+            among += np.bincount(bucket, minlength=1 << BUCKET_BITS)
+            high += np.bincount(bucket, weights=y[text], minlength=1 << BUCKET_BITS)
         use = among >= MIN_TEXTS
         net.p["char"][use, 0] = lift(high, among, y.mean())[use]
     rng, label = np.random.default_rng(SEED), y[e.text]
@@ -240,7 +268,7 @@ def trained(texts: list[str], toxic: list[int]) -> Network | None:
             use = np.arange(len(label))
             weight = np.where(label > 0, 1.0, max(1e-3, label.sum() / (len(label) - label.sum())))
         else:
-            score = np.concatenate([net.forward(x, e.windows[i : i + 4096])[0] for i in range(0, len(label), 4096)])
+            score = np.concatenate([net.forward(x, e.windows[i : i + 1024])[0] for i in range(0, len(label), 1024)])
             order = np.lexsort((-score, e.text))
             top = order[np.concatenate([[True], np.diff(e.text[order]) > 0])]
             # a toxic text's highest window holds its label; the lowest TRIM of these are taken for wrong labels
