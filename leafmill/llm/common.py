@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +45,13 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def map_rows(docs: DataFrame, run: Callable) -> DataFrame:
+    """docs.mapInArrow(run) with the columns of docs, which may have dots in their names."""
+    safe = [f"__leafmill_{i}" if "." in c or "`" in c else c for i, c in enumerate(docs.columns)]
+    own = docs.toDF(*safe)
+    return own.mapInArrow(run, own.schema).toDF(*docs.columns)
+
+
 def row_key(*columns: str) -> Column:
     """64 bits that stand for a row in narrow shuffles; equal for repeated rows only (but for collisions)."""
     return F.xxhash64(*[F.col(c) for c in columns], *[F.col(c).isNull() for c in columns])

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import pieces
+from leafmill.llm.common import map_rows, pieces
 from leafmill.llm.tokens import Powers, Words, alphanumeric, buffer_of, byte_values
 
 N, MIN_WORDS, PHRASE_WORDS, SHARD_BYTES, SAMPLE = 8, 4, 4_000_000, 1 << 22, 8
@@ -296,7 +296,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, n: int = N, min_words:
         return run
 
     for phrases in benchmark_blocks(benchmark, n, min_words, limit):
-        docs = docs.mapInArrow(scan(phrases), docs.schema)
+        docs = map_rows(docs, scan(phrases))
     return docs
 
 

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import pieces
+from leafmill.llm.common import map_rows, pieces
 from leafmill.llm.neardup import minima, shingle_hashes
 from leafmill.llm.tokens import Powers, Words, alphanumeric, buffer_of, byte_values
 
@@ -362,4 +362,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
         keep[e.text[scores >= threshold]] = False
         return part.filter(pa.array(keep))
 
-    return docs.mapInArrow(window_scorer(fitted(docs, labels, sample), out), docs.schema)
+    return map_rows(docs, window_scorer(fitted(docs, labels, sample), out))
