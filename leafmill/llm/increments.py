@@ -8,7 +8,13 @@ is reduced to its own first places by hash and merge-joined with every run, buck
 which moves none of the history; what no run has becomes a new run. When FAN runs of a level
 are there they are merged into one of the next level.
 
-A window met earlier gives a candidate, its text against that of its hash's first place.
+A kept window stands for the runs of WORDS words that keep it; together they are its context,
+and each run of WORDS words belongs to one kept window. A window met earlier whose context is
+that of its hash's first place gives a candidate, its text against that of the first place.
+Where the contexts differ, the runs of WORDS words of both are hashed whole, and each run met
+earlier gives a candidate against its own first place, so a hash that a shorter piece had first
+hides no later repeat. Both kinds together name every run of WORDS words that came earlier.
+
 Candidates of one pair of rows and one displacement make one range; its words, and WORDS more
 on both sides, are compared with those of the earlier text, which travels once for each
 SHARE ranges that point at it. Maximal runs of WORDS equal words are the verified spans.
@@ -27,25 +33,38 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leafmill.llm.common import cut, pieces, remove_path, row_key, shared_path
 from leafmill.llm.suffixes import merged_spans
-from leafmill.llm.tokens import Powers, Words, buffer_of, byte_values, gram_hashes, not_space, winnow
+from leafmill.llm.tokens import Powers, Words, buffer_of, byte_values, gram_hashes, mix, not_space, winnow
 
 K, GAP, FAN, BATCHES, SHARE = 20, 21, 3, 4, 4096
 WORDS = K + GAP - 1
 
-PLACE = "struct<batch int, no_id boolean, doc_id bigint, row bigint, pos int>"
+PLACE = "struct<batch int, no_id boolean, doc_id bigint, row bigint, pos int, context bigint, before int, more int>"
 
 
 def rows_of(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), row_key("doc_id", "text").alias("row"))
 
 
+def run_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers) -> np.ndarray:
+    """The hash of each run of words from starts[i] to before ends[i]."""
+    up, down = powers.to(len(words) + 1)
+    with np.errstate(over="ignore"):
+        prefix = np.zeros(len(words) + 1, dtype=np.uint64)
+        np.cumsum(words * up[:-1], out=prefix[1:])
+        return mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 def window_hashes(rows: DataFrame, k: int = K, gap: int = GAP) -> DataFrame:
-    """(hash, doc_id, row, pos): the kept windows of each text of k + gap - 1 words or more."""
+    """(hash, doc_id, row, pos, context, before, more): the kept windows of each text of k + gap - 1 words or more.
+
+    The runs of k + gap - 1 words that keep a window begin before words ahead of pos and go on for
+    more further starts; context is the hash of all their words.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, values, table = Powers(), byte_values(), not_space()
@@ -55,18 +74,21 @@ def window_hashes(rows: DataFrame, k: int = K, gap: int = GAP) -> DataFrame:
             long = np.flatnonzero(counts >= k + gap - 1)
             if not len(long):
                 continue
-            grams = gram_hashes(w.hashes(values, powers), k, powers)
+            hashes = w.hashes(values, powers)
+            grams = gram_hashes(hashes, k, powers)
             sizes = counts[long] - k + 1
             bounds = np.concatenate([[0], np.cumsum(sizes)])
             grams = grams[np.arange(bounds[-1]) + np.repeat(w.first[:-1][long] - bounds[:-1], sizes)]
-            chosen, _, _ = winnow(grams, bounds, gap)
+            chosen, lo, hi = winnow(grams, bounds, gap)
             own = np.searchsorted(bounds, chosen, side="right") - 1
-            of = pa.array(long[own])
+            of, base = pa.array(long[own]), w.first[:-1][long[own]] - bounds[own]
+            context = run_hashes(hashes, base + lo, base + hi + k + gap - 1, powers)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(grams[chosen].view(np.int64)), part.column("doc_id").take(of), part.column("row").take(of), pa.array((chosen - bounds[own]).astype(np.int32))], names=["hash", "doc_id", "row", "pos"]
+                [pa.array(grams[chosen].view(np.int64)), part.column("doc_id").take(of), part.column("row").take(of), pa.array((chosen - bounds[own]).astype(np.int32)), pa.array(context.view(np.int64)), *(pa.array(x.astype(np.int32)) for x in (chosen - lo, hi - lo))],
+                names=["hash", "doc_id", "row", "pos", "context", "before", "more"],
             )
 
-    return rows.mapInArrow(run, "hash bigint, doc_id bigint, row bigint, pos int")
+    return rows.mapInArrow(run, "hash bigint, doc_id bigint, row bigint, pos int, context bigint, before int, more int")
 
 
 class Run:
@@ -94,9 +116,9 @@ class Index:
         self.runs: list[Run] = []
 
     def add(self, hashes: DataFrame) -> DataFrame:
-        """(doc_id, row, pos, first_doc_id, first_row, first_pos) of each window that has an earlier place; then the batch's own first places become a run."""
+        """(own, first, alike) of each window that has an earlier place: both places, and if their contexts are equal; then the batch's own first places become a run."""
         self.batch += 1
-        place = F.struct(F.lit(self.batch).alias("batch"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "pos")
+        place = F.struct(F.lit(self.batch).alias("batch"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "pos", "context", "before", "more")
         new = hashes.groupBy("hash").agg(F.min(place).alias("own"), F.count("*").alias("n")).repartition(self.buckets, "hash")
         old = []
         self.spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")  # runs come sorted
@@ -111,7 +133,7 @@ class Index:
         found = cut(
             hashes.join(met, "hash")
             .where(~((F.col("row") == F.col("first.row")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("pos") == F.col("first.pos"))))
-            .select("doc_id", "row", "pos", F.col("first.doc_id").alias("first_doc_id"), F.col("first.row").alias("first_row"), F.col("first.pos").alias("first_pos"))
+            .select(place.alias("own"), "first", (F.col("context") == F.col("first.context")).alias("alike"))
         )
         self.runs.append(Run(self.spark, known.where("old is null").select("hash", F.col("own").alias("first")), 0, self.buckets))
         self.compact()
@@ -137,6 +159,46 @@ class Index:
         self.runs = []
 
 
+def paired(found: DataFrame, own: str, first: str, pos: str) -> DataFrame:
+    """(doc_id, row, pos, first_doc_id, first_row, first_pos): candidates as verified() takes them."""
+    return found.select(*(F.col(f"{own}.{c}").alias(c) for c in ("doc_id", "row")), F.col(f"{own}.{pos}").alias("pos"), *(F.col(f"{first}.{c}").alias(f"first_{c}") for c in ("doc_id", "row")), F.col(f"{first}.{pos}").alias("first_pos"))
+
+
+def whole_runs(rows: DataFrame, words: int) -> DataFrame:
+    """(full, place): the hash of each run of words words that the listed windows stand for, and where it is."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers, values, table = Powers(), byte_values(), not_space()
+        for part in pieces(batches, "text"):
+            w = Words(*buffer_of(part.column("text")), table)
+            full = gram_hashes(w.hashes(values, powers), words, powers)
+            listed = part.column("listed")
+            flat, sizes = listed.flatten(), listed.value_lengths().to_numpy(zero_copy_only=False)
+            batch, pos, before, more = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4))
+            text = np.repeat(np.arange(len(part)), sizes)
+            each = np.repeat(np.arange(len(text)), more + 1)
+            start = (pos - before)[each] + np.arange(len(each)) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)
+            hashes = full[w.first[:-1][text[each]] + start].view(np.int64)
+            for at in range(0, len(each), 1 << 16):
+                of, s = pa.array(text[each[at : at + (1 << 16)]]), slice(at, at + (1 << 16))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashes[s]), pa.array(batch[each[s]].astype(np.int32)), part.column("doc_id").take(of), part.column("row").take(of), pa.array(start[s].astype(np.int32))], names=["full", "batch", "doc_id", "row", "start"]
+                )
+
+    found = rows.select("doc_id", "row", "text", "listed").mapInArrow(run, "full bigint, batch int, doc_id bigint, row bigint, start int")
+    return found.select("full", F.struct("batch", F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "start").alias("place"))
+
+
+def contested(found: DataFrame, docs: DataFrame, k: int = K, gap: int = GAP) -> DataFrame:
+    """Candidates among the windows whose context is not that of their hash's first place, by whole runs of k + gap - 1 words."""
+    late = found.where("not alike")
+    places = late.select(F.explode(F.array("own", "first")).alias("p")).select("p.row", F.struct("p.batch", "p.pos", "p.before", "p.more").alias("p"))
+    lists = places.groupBy("row").agg(F.collect_set("p").alias("listed"))
+    runs = whole_runs(rows_of(docs).join(lists, "row"), k + gap - 1)
+    first = F.first("place").over(Window.partitionBy("full").orderBy("place").rowsBetween(Window.unboundedPreceding, 0))
+    return paired(runs.withColumn("first", first).where("place != first"), "place", "first", "start")
+
+
 def ranges(rows: DataFrame, words: int) -> DataFrame:
     """(first_row, share, kind, doc_id, row, start, first_start, first_doc_id, text): the words about each listed range."""
 
@@ -206,15 +268,16 @@ def incremental_spans(docs: DataFrame, batches: int = BATCHES, k: int = K, gap:
     gives the same spans since a batch's verification has no effect on the runs.
     """
     spark = docs.sparkSession
-    path = shared_path(spark, "windows")
+    path, stored = shared_path(spark, "windows"), "hash bigint, doc_id bigint, row bigint, pos int, context bigint, before int, more int, batch int"
     window_hashes(rows_of(docs), k, gap).withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")).write.partitionBy("batch").parquet(path)
-    if not spark.read.schema("hash bigint, doc_id bigint, row bigint, pos int, batch int").parquet(path).limit(1).collect():
+    if not spark.read.schema(stored).parquet(path).limit(1).collect():
         return spark.createDataFrame([], "doc_id bigint, start_word int, end_word int, first_doc_id bigint")
-    hashes = spark.read.schema("hash bigint, doc_id bigint, row bigint, pos int, batch int").parquet(path)
+    hashes = spark.read.schema(stored).parquet(path)
     index, found = Index(spark, fan), None
     for b in range(batches):
         own = index.add(hashes.where(F.col("batch") == b).drop("batch"))
         found = own if found is None else found.unionByName(own)
     index.drop()
     remove_path(spark, path)
-    return merged_spans(verified(found, docs, k, gap), "doc_id", "row").drop("row")
+    candidates = paired(found.where("alike"), "own", "first", "pos").unionByName(contested(found, docs, k, gap))
+    return merged_spans(verified(candidates, docs, k, gap), "doc_id", "row").drop("row")
