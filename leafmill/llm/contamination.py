@@ -30,6 +30,7 @@ from leafmill.llm.common import map_rows, pieces
 from leafmill.llm.tokens import Powers, Words, alphanumeric, buffer_of, byte_values
 
 N, MIN_WORDS, PHRASE_WORDS, SHARD_BYTES, SAMPLE = 8, 4, 4_000_000, 1 << 22, 8
+NOTED = "__leafmill_spans"
 
 
 class WaveletMatrix:
@@ -262,25 +263,48 @@ def without_spans(text: str, data: np.ndarray, starts: np.ndarray, ends: np.ndar
     return "".join([*kept, text[at:]])
 
 
+def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans in order, those that overlap or touch made one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
+
+
 def decontaminated(docs: DataFrame, benchmark: DataFrame, n: int = N, min_words: int = MIN_WORDS, limit: int = PHRASE_WORDS) -> DataFrame:
     """The documents with the spans cut from their texts; one that has no other words goes.
 
     Columns are those of docs; rows without a span are unchanged, null and empty texts included.
+    Each pass but the last only notes its spans beside the row, so all passes search the original
+    text, and the last cuts what any of them found.
     """
 
-    def scan(phrases: Phrases) -> Callable:
+    def scan(phrases: Phrases, last: bool) -> Callable:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shard = Shard(phrases)
             for part in pieces(batches, "text", SHARD_BYTES):
                 words, found = shard.spans(part.column("text"))
-                if not found:
-                    yield part
-                    continue
-                texts, by = part.column("text").to_pylist(), {}
+                by: dict[int, list[tuple[int, int]]] = {}
+                noted = part.schema.get_field_index(NOTED)
+                if noted >= 0:
+                    for t, flat in enumerate(part.column(noted).to_pylist()):
+                        if flat:
+                            by[t] = list(zip(flat[::2], flat[1::2]))
                 for t, a, b, _ in found:
                     by.setdefault(t, []).append((a, b))
-                gone = []
+                if not by:
+                    yield part
+                    continue
+                if not last:
+                    flat = [[x for span in by[t] for x in span] if t in by else None for t in range(len(part))]
+                    yield part.set_column(noted, part.schema.field(noted), pa.array(flat, type=part.schema.field(noted).type))
+                    continue
+                texts, gone = part.column("text").to_pylist(), []
                 for t, spans in by.items():
+                    spans = united(spans)
                     first, base = words.first[t], words.offsets[t]
                     if sum(b - a for a, b in spans) == words.first[t + 1] - first:
                         gone.append(t)
@@ -295,9 +319,13 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, n: int = N, min_words:
 
         return run
 
-    for phrases in benchmark_blocks(benchmark, n, min_words, limit):
-        docs = map_rows(docs, scan(phrases))
-    return docs
+    blocks = benchmark_blocks(benchmark, n, min_words, limit)
+    if len(blocks) == 1:
+        return map_rows(docs, scan(blocks[0], True))
+    noted = docs.withColumn(NOTED, F.lit(None).cast("array<bigint>"))
+    for i, phrases in enumerate(blocks):
+        noted = map_rows(noted, scan(phrases, i == len(blocks) - 1))
+    return noted.drop(NOTED)
 
 
 ORACLE_SQL = f"""

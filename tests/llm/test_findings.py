@@ -2,7 +2,7 @@
 
 import random
 
-from leafmill.llm import increments
+from leafmill.llm import contamination, increments
 
 RNG = random.Random(29)
 VOCABULARY = ["".join(RNG.choices("abcdefghijklmnop", k=RNG.randint(2, 8))) for _ in range(3000)]
@@ -39,3 +39,15 @@ def test_increments_where_shorter_pieces_come_first(spark):
     place = {d: i for i, d in enumerate(order)}
     assert {(r.doc_id, i) for r in got for i in range(r.start_word, r.end_word)} == repeated_places(rows, n)
     assert all(place[r.first_doc_id] < place[r.doc_id] for r in got)
+
+
+def test_decontaminated_in_several_passes(spark):
+    """Items that share 8-grams lie in different blocks; the texts are those of one pass."""
+    w = babble(60)
+    items = [(i, " ".join(w[i * 4 : i * 4 + 14])) for i in range(12)]
+    docs = [(1, " ".join(w)), (2, " ".join(babble(9) + w[:30] + babble(9))), (3, None), (4, " ".join(w[20:50])), (5, " ".join(w[:4] + w[20:34] + w[4:8])), (6, " ".join(babble(30)))]
+    df, benchmark = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    one = sorted(map(repr, contamination.decontaminated(df, benchmark).collect()))
+    several = contamination.decontaminated(df, benchmark, limit=120)
+    assert len(contamination.benchmark_blocks(benchmark, 8, 4, 120)) > 2
+    assert several.columns == df.columns and sorted(map(repr, several.collect())) == one
