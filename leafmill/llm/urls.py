@@ -2,8 +2,8 @@
 
 The unigram model mixes, half and half, the relative frequencies of the words of all pages'
 visible text with a Zipf law over the ranks of a public tokenizer's whole words (its file is a
-parameter). Words rarer than RARE of the running words (or met once) are left out, which bounds
-the model at 1 / RARE words for a corpus of any size. Each label of a host is cut at characters
+parameter). All words count, those met once too: their counts stay a table, which is joined to
+the substrings of the distinct hosts, so a task holds only what its hosts need. Each label of a host is cut at characters
 other than letters and each run of letters into its most probable words; a run of n unknown
 letters has probability 10**-n over the number of words; of equal cuts the one whose last word
 is longest stays.
@@ -11,7 +11,8 @@ is longest stays.
 Features are the host's words (h:), its top-level label (t:) and the path's and query's tokens
 (p:), digits as their count. A page is a positive example if a word of its host is a seed; seeds
 are a parameter. Multinomial naive Bayes with Laplace smoothing counts over all pages; features
-rarer than RARE (or met once) share one count. A page is blocked if its log odds exceed 0.
+met once share one count, whatever the size of the table. The counts stay a table too, joined
+to the pages' features. A page is blocked if its log odds exceed 0.
 
 Cases: a null or empty URL, or one without a host, has no words and its path's features only; it
 is scored, and blocked only by features (a page without any feature never is). Without a
@@ -25,7 +26,7 @@ from __future__ import annotations
 import json
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,7 +36,7 @@ from leafmill.llm.common import cut
 
 VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 SEEDS = ("adult", "ads", "bets", "betting", "casino", "escort", "gambling", "jackpot", "malware", "phishing", "pills", "poker", "porn", "sex", "spam", "viagra", "warez", "xxx")
-RARE, LONGEST, ALPHA = 1e-6, 24, 1.0
+LONGEST, ALPHA = 24, 1.0
 PARTS = re.compile(r"\s*(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?//([^/?#\\\s]*)([^#\s]*)")
 LETTERS, TOKENS = re.compile("[a-z]+"), re.compile("[a-z]+|[0-9]+")
 
@@ -54,10 +55,11 @@ def split_url(url: str | None) -> tuple[str, str]:
 class Unigram:
     """Log probabilities of words, and the most probable cut of a run of letters."""
 
-    def __init__(self, probabilities: dict[str, float]) -> None:
+    def __init__(self, probabilities: dict[str, float], size: int | None = None) -> None:
+        """size: the words of the whole model, where probabilities has only those that are needed."""
         self.log = {w: math.log(p) for w, p in probabilities.items() if p > 0}
         self.longest = max(map(len, self.log), default=1)
-        self.unknown = -math.log(len(self.log) + 1)
+        self.unknown = -math.log((len(self.log) if size is None else size) + 1)
 
     def segment(self, run: str) -> list[str]:
         best, back, tenth = [0.0], [0], math.log(10)
@@ -87,18 +89,18 @@ def zipf(path: str) -> dict[str, float]:
     return {w: 1 / (i + 2.7) / total for i, w in enumerate(words)}
 
 
-def page_words(pages: DataFrame, rare: float = RARE) -> dict[str, float]:
-    """Relative frequencies of the words of all pages' text; at most 1 / rare of them."""
+def word_counts(pages: DataFrame) -> DataFrame:
+    """(word, count) of all words of all pages' text."""
     text = F.regexp_replace(F.lower("html"), r"<script.*?</script>|<style.*?</style>|<[^>]*>|&\w+;", " ")
     words = pages.select(F.explode(F.split(text, "[^a-z]+")).alias("word")).where(f"length(word) between 2 and {LONGEST}")
-    counts = cut(words.groupBy("word").count())
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    return {r["word"]: r["count"] / total for r in counts.where(F.col("count") >= max(2, math.ceil(rare * total))).collect()}
+    return cut(words.groupBy("word").count())
 
 
-def unigram(pages: DataFrame, vocabulary: str = VOCABULARY, rare: float = RARE) -> Unigram:
-    seen, prior = page_words(pages, rare), zipf(vocabulary)
-    return Unigram({w: (seen.get(w, 0.0) + prior.get(w, 0.0)) / 2 for w in seen.keys() | prior.keys()})
+def unigram(pages: DataFrame, vocabulary: str = VOCABULARY) -> Unigram:
+    """The whole model in one place, for small tables."""
+    counts, prior = {r["word"]: r["count"] for r in word_counts(pages).collect()}, zipf(vocabulary)
+    total = sum(counts.values())
+    return Unigram({w: (counts.get(w, 0) / max(1, total) + prior.get(w, 0.0)) / 2 for w in counts.keys() | prior.keys()})
 
 
 def host_words(host: str, model: Unigram) -> list[str]:
@@ -113,60 +115,104 @@ def features(host: str, words: list[str], rest: str) -> list[str]:
     return own + ["p:" + (f"#{len(t)}" if t[0].isdigit() else t) for t in TOKENS.findall(rest)]
 
 
-def segmented(pages: DataFrame, model: Unigram, seeds: tuple[str, ...] = SEEDS) -> DataFrame:
+def parsed(pages: DataFrame) -> DataFrame:
+    """(page_id, host, rest) of each page."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            host, rest = zip(*map(split_url, batch.column("url").to_pylist())) if len(batch) else ((), ())
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), pa.array(host, pa.string()), pa.array(rest, pa.string())], names=["page_id", "host", "rest"])
+
+    return pages.selectExpr("cast(page_id as bigint) page_id", "cast(url as string) url").mapInArrow(run, "page_id bigint, host string, rest string")
+
+
+def substrings(hosts: DataFrame) -> DataFrame:
+    """(host, word): the distinct substrings of each host's labels but the top-level one that may be words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for host in batch.column("host").to_pylist():
+                own = {r[i:j] for label in host.split(".")[:-1] for r in LETTERS.findall(label) for i in range(len(r)) for j in range(i + 2, min(len(r), i + LONGEST) + 1)}
+                if own:
+                    yield pa.RecordBatch.from_arrays([pa.array([host] * len(own), pa.string()), pa.array(list(own), pa.string())], names=["host", "word"])
+
+    return hosts.mapInArrow(run, "host string, word string")
+
+
+def host_table(hosts: DataFrame, counts: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """(host, words) of each distinct host."""
+    prior = zipf(vocabulary)
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    ranked = counts.sparkSession.createDataFrame(pa.table({"word": list(prior)}))
+    size = counts.count() + len(prior) - counts.join(ranked, "word", "left_semi").count()
+    met = substrings(hosts).join(counts, "word").groupBy("host").agg(F.collect_list(F.struct("word", "count")).alias("met"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Unigram({w: p / 2 for w, p in prior.items()}, size)
+        for batch in batches:
+            out = []
+            for host, own in zip(batch.column("host").to_pylist(), batch.column("met").to_pylist()):
+                own = {x["word"]: x["count"] for x in own or ()}
+                old = {w: model.log[w] for w in own if w in model.log}
+                model.log.update({w: math.log((c / total + prior.get(w, 0.0)) / 2) for w, c in own.items()})
+                out.append(host_words(host, model))
+                for w in own:
+                    del model.log[w]
+                model.log.update(old)
+            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(out, pa.list_(pa.string()))], names=["host", "words"])
+
+    return hosts.join(met, "host", "left").select("host", "met").mapInArrow(run, "host string, words array<string>")
+
+
+def segmented(pages: DataFrame, vocabulary: str = VOCABULARY, seeds: tuple[str, ...] = SEEDS) -> DataFrame:
     """(page_id, host, words, features, positive) of each page."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[str]] = {}
         bad = frozenset(seeds)
         for batch in batches:
-            rows = []
-            for url in batch.column("url").to_pylist():
-                host, rest = split_url(url)
-                if host not in known:
-                    if len(known) >= 100_000:  # only bounds a task's memory
-                        known.clear()
-                    known[host] = host_words(host, model)
-                words = known[host]
-                rows.append((host, words, features(host, words, rest), not bad.isdisjoint(words)))
-            host, words, own, positive = zip(*rows) if rows else ((), (), (), ())
+            hosts, rests, words = (batch.column(c).to_pylist() for c in ("host", "rest", "words"))
+            own = [features(h, w, r) for h, w, r in zip(hosts, words, rests)]
+            positive = [not bad.isdisjoint(w) for w in words]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), pa.array(host, pa.string()), pa.array(words, pa.list_(pa.string())), pa.array(own, pa.list_(pa.string())), pa.array(positive, pa.bool_())],
+                [batch.column("page_id"), batch.column("host"), batch.column("words"), pa.array(own, pa.list_(pa.string())), pa.array(positive, pa.bool_())],
                 names=["page_id", "host", "words", "features", "positive"],
             )
 
-    own = pages.selectExpr("cast(page_id as bigint) page_id", "cast(url as string) url")
-    return own.mapInArrow(run, "page_id bigint, host string, words array<string>, features array<string>, positive boolean")
+    own = cut(parsed(pages))
+    known = host_table(own.select("host").distinct(), word_counts(pages), vocabulary)
+    return own.join(known, "host").select("page_id", "host", "rest", "words").mapInArrow(run, "page_id bigint, host string, words array<string>, features array<string>, positive boolean")
 
 
-def bayes(found: DataFrame, rare: float = RARE, alpha: float = ALPHA) -> tuple[float, dict[str, float], float] | None:
-    """Prior log odds, the features' log odds and those of any rare feature; None where there are no two classes."""
+def bayes(found: DataFrame, alpha: float = ALPHA) -> tuple[float, DataFrame, Callable, tuple[int, int]] | None:
+    """Prior log odds, the counts of the features met more than once, the log odds of two counts, and the others' counts; None where there are no two classes."""
     classes = {r["positive"]: r["count"] for r in found.groupBy("positive").count().collect()}
     if not classes.get(True) or not classes.get(False):
         return None
     counts = cut(found.select(F.explode("features").alias("feature"), "positive").groupBy("feature").agg(F.count_if("positive").alias("high"), F.count_if(~F.col("positive")).alias("low")))
-    high, low = (x or 0 for x in counts.agg(F.sum("high"), F.sum("low")).first())
-    least = max(2, math.ceil(rare * (high + low)))
-    often = F.col("high") + F.col("low") >= least
-    kept = counts.where(often).collect()
-    rest = counts.where(~often).agg(F.sum("high"), F.sum("low")).first()
-    size = len(kept) + 1
+    once = F.col("high") + F.col("low") < 2
+    t = counts.agg(F.sum("high"), F.sum("low"), F.count_if(~once), F.sum(F.when(once, F.col("high"))), F.sum(F.when(once, F.col("low")))).first()
+    high, low, size = t[0] or 0, t[1] or 0, t[2] + 1
     odds = lambda a, b: math.log((a + alpha) / (high + alpha * size)) - math.log((b + alpha) / (low + alpha * size))
-    return math.log(classes[True]) - math.log(classes[False]), {r["feature"]: odds(r["high"], r["low"]) for r in kept}, odds(rest[0] or 0, rest[1] or 0)
+    return math.log(classes[True]) - math.log(classes[False]), counts.where(~once), odds, (t[3] or 0, t[4] or 0)
 
 
-def url_filter(pages: DataFrame, vocabulary: str = VOCABULARY, seeds: tuple[str, ...] = SEEDS, rare: float = RARE) -> DataFrame:
+def url_filter(pages: DataFrame, vocabulary: str = VOCABULARY, seeds: tuple[str, ...] = SEEDS) -> DataFrame:
     """(page_id, host, words, score, blocked) of every page; words are the host's, joined by spaces, score the log odds."""
-    found = cut(segmented(pages, unigram(pages, vocabulary, rare), seeds))
-    model = bayes(found, rare)
+    found = cut(segmented(pages, vocabulary, seeds).withColumn("at", F.monotonically_increasing_id()))
+    model = bayes(found)
+    own = found.select("at", "page_id", "host", F.array_join("words", " ").alias("words"))
+    if model is None:
+        return own.select("page_id", "host", "words", F.lit(0.0).alias("score"), F.lit(False).alias("blocked"))
+    prior, counts, odds, rare = model
+    each = found.select("at", F.explode("features").alias("feature")).groupBy("at", "feature").agg(F.count("*").alias("n"))
+    weighed = each.join(counts, "feature", "left").groupBy("at").agg(F.collect_list(F.struct("high", "low", "n")).alias("met"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prior, weights, other = model or (0.0, {}, 0.0)
+        other = odds(*rare)
         for batch in batches:
-            lists = batch.column("features").to_pylist()
-            scores = [round(math.fsum([prior, *(weights.get(f, other) for f in own)]), 6) for own in lists]
-            blocked = [bool(model and own and s > 0) for s, own in zip(scores, lists)]
-            words = [" ".join(w) for w in batch.column("words").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("host"), pa.array(words, pa.string()), pa.array(scores, pa.float64()), pa.array(blocked, pa.bool_())], names=["page_id", "host", "words", "score", "blocked"])
+            lists = batch.column("met").to_pylist()
+            scores = [round(math.fsum([prior, *(w for x in met or () for w in [other if x["high"] is None else odds(x["high"], x["low"])] * x["n"])]), 6) for met in lists]
+            blocked = [bool(met and s > 0) for s, met in zip(scores, lists)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "host", "words")), pa.array(scores, pa.float64()), pa.array(blocked, pa.bool_())], names=["page_id", "host", "words", "score", "blocked"])
 
-    return found.select("page_id", "host", "words", "features").mapInArrow(run, "page_id bigint, host string, words string, score double, blocked boolean")
+    return own.join(weighed, "at", "left").select("page_id", "host", "words", "met").mapInArrow(run, "page_id bigint, host string, words string, score double, blocked boolean")

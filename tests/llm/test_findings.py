@@ -2,7 +2,7 @@
 
 import random
 
-from leafmill.llm import contamination, increments
+from leafmill.llm import contamination, increments, urls
 
 RNG = random.Random(29)
 VOCABULARY = ["".join(RNG.choices("abcdefghijklmnop", k=RNG.randint(2, 8))) for _ in range(3000)]
@@ -51,3 +51,14 @@ def test_decontaminated_in_several_passes(spark):
     several = contamination.decontaminated(df, benchmark, limit=120)
     assert len(contamination.benchmark_blocks(benchmark, 8, 4, 120)) > 2
     assert several.columns == df.columns and sorted(map(repr, several.collect())) == one
+
+
+def test_rare_words_count_whatever_the_size(spark):
+    """Over two million running words, words met twice still cut a host as on a small table."""
+    rare = [(1, "http://zorblaxquim.example.com/hapax/1", "zorblax quim"), (2, "http://casinowin.example.com/hapax/2", "zorblax quim casino win")]
+    few = [*rare, *((i, f"http://goodnews.example.com/story/{i}", "good news casino win") for i in range(3, 9))]
+    many = [*few, (99, "http://goodnews.example.org/story/99", "good news " * 1_500_000)]
+    got = {r.page_id: r for r in urls.url_filter(spark.createDataFrame(many, "page_id bigint, url string, html string")).collect()}
+    assert got[1].words == "zorblax quim example"
+    model = urls.unigram(spark.createDataFrame(few, "page_id bigint, url string, html string"))
+    assert urls.host_words("zorblaxquim.example.com", model) == got[1].words.split()
