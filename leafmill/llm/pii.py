@@ -1,7 +1,7 @@
 """Personal data by anchor expansion: Aho-Corasick finds anchors, local parsers settle boundaries.
 
 One automaton finds at-signs, address schemes, plus signs, digits and the cue words of accounts
-and secrets (lower case, capitalised and upper case). Each anchor has a parser that expands
+and secrets, in any case, over a lower-cased copy in which each character keeps its place. Each anchor has a parser that expands
 from it to both sides within the characters its kind allows and then validates what it found:
 
 * email: local part and domain about an at-sign; letters and digits of any script, dots not
@@ -49,7 +49,7 @@ def automaton() -> ahocorasick.Automaton:
     anchors = [("@", "@"), ("+", "+"), *((d, "0") for d in DIGITS)]
     anchors += [(s, "scheme") for s in SCHEMES]
     for kind, cues in (("account", ACCOUNT_CUES), ("secret", SECRET_CUES)):
-        anchors += [(form, kind) for c in cues for form in (c, c.capitalize(), c.upper())]
+        anchors += [(c, kind) for c in cues]
     for word, kind in anchors:
         a.add_word(word, (len(word), kind))
     a.make_automaton()
@@ -261,10 +261,16 @@ def cued(t: str, start: int, after: int, kind: str) -> Find | None:
     return (a, b, "account") if digits >= 6 and len(value) <= 40 else None
 
 
+def lowered(t: str) -> str:
+    """t in lower case, each character at its own place; one whose lower case is longer stays as it is."""
+    low = t.lower()
+    return low if len(low) == len(t) else "".join(x if len(x := c.lower()) == 1 else c for c in t)
+
+
 def finds(t: str, a: ahocorasick.Automaton) -> list[Find]:
     """Finds in a text, in order and apart."""
     found, digits_to = [], -1
-    for last, (size, kind) in a.iter(t):
+    for last, (size, kind) in a.iter(lowered(t)):
         start = last - size + 1
         if kind == "0":
             if start < digits_to:

@@ -2,7 +2,7 @@
 
 import random
 
-from leafmill.llm import contamination, increments, urls
+from leafmill.llm import contamination, increments, pii, urls
 
 RNG = random.Random(29)
 VOCABULARY = ["".join(RNG.choices("abcdefghijklmnop", k=RNG.randint(2, 8))) for _ in range(3000)]
@@ -62,3 +62,10 @@ def test_rare_words_count_whatever_the_size(spark):
     assert got[1].words == "zorblax quim example"
     model = urls.unigram(spark.createDataFrame(few, "page_id bigint, url string, html string"))
     assert urls.host_words("zorblaxquim.example.com", model) == got[1].words.split()
+
+
+def test_cues_in_any_case():
+    a = pii.automaton()
+    for before in ("", "İ İstanbul "):
+        for text, kind, value in (("Customer ID: 48291734", "account", "48291734"), ("Member ID 7734519", "account", "7734519"), ("Tax ID 982736451", "account", "982736451"), ("Api_Key = abcd1234efgh", "secret", "abcd1234efgh"), ("PassWord: hunter2hunter2", "secret", "hunter2hunter2")):
+            assert [(k, (before + text)[x:y]) for x, y, k in pii.finds(before + text, a)] == [(kind, value)], text
