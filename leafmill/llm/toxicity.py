@@ -1,21 +1,29 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, in numpy.
 
 A text's words are lower-case runs of ASCII letters and digits and non-ASCII characters. The
-network reads a word vector (of the training sample's own frequent words) and the mean vector
-of the word's hashed byte runs of 3, 5 and 7 at each step, runs a GRU over the window in either
-direction, pools the states by attention and scores the window. All windows of WINDOW words
-at a stride of STRIDE are scored, the last one ending with the text; a text of fewer words is
-one window. A document's score is its highest window's.
-
-Training takes at most SAMPLE labelled rows (those of least doc_id hash), as weak labels of
-whole texts: after a few steps in which each window takes its text's label, only a toxic
-text's highest window does, and the TRIM lowest of those count as wrongly labelled. Everything is seeded, so equal inputs give equal weights. The
-weights, a few hundred kB whatever the corpus, go to the tasks with the scoring function.
+network reads a word vector (for words that MIN_TEXTS texts of the training sample have; others
+are known by their characters) and the mean vector of the word's hashed byte runs of 3, 5 and 7
+at each step, runs a GRU over the window in either direction, pools the states by attention and
+scores the window. Windows of WINDOW words that overlap by all but STRIDE are scored, the last
+one ending with the text; a text of fewer words is one window. A document's score is its highest
+window's.
+
+Training takes at most SAMPLE labelled rows, those of least doc_id hash, of SAMPLE_CHARS
+characters in all (a row that doesn't fit any more is passed over; texts are taken whole). Labels
+are weak, as they hold for whole texts, and some are wrong: after a few steps in which each
+window takes its text's label, only a toxic text's highest window does; the loss is the
+generalized cross entropy (1 - p**ROBUST) / ROBUST, which weighs examples that the network can't
+learn ever less; every HOLD-th text is held out, and the weights of least loss on those stay.
+Windows of a few clean words said over and over join the clean ones, so that a stutter alone is
+no signal. All weights start at random (byte runs' at zero) and everything is seeded, so equal
+inputs give equal weights. They are a few hundred kB whatever the corpus and go to the tasks with
+the scoring function.
 
 Cases: a text without words (null, empty, punctuation) has score 0 and is never toxic. Labels
-without a text, a doc_id or a value are left out; repeated labels count once, the toxic one.
-Without any label, or with labels of one kind, no text is toxic. A null doc_id is scored like
-any other. Repeated rows score alike. Other columns stay as they are.
+without a text, a doc_id or a value are left out; repeated labels count once, the toxic one; of
+several texts of a labelled doc_id the least one trains. Without any label, or with labels of
+one kind, no text is toxic. A null doc_id is scored like any other. Repeated rows score alike.
+Texts are scored whole whatever their length. Other columns stay as they are.
 """
 
 from __future__ import annotations
@@ -32,9 +40,9 @@ from leafmill.llm.common import map_rows, pieces
 from leafmill.llm.neardup import minima, shingle_hashes
 from leafmill.llm.tokens import Powers, Words, alphanumeric, buffer_of, byte_values
 
-SAMPLE, WINDOW, STRIDE, HIDDEN, WORD, CHAR, MIN_TEXTS, THRESHOLD = 4000, 48, 24, 8, 8, 8, 5, 0.5
+SAMPLE, SAMPLE_CHARS, WINDOW, STRIDE, HIDDEN, WORD, CHAR, MIN_TEXTS, THRESHOLD = 4000, 24_000_000, 48, 8, 8, 8, 8, 5, 0.5
 GRAMS, BUCKET_BITS = (3, 5, 7), 14
-WARM_STEPS, STEPS, PASSES, TRIM, SEED = 60, 400, 2, 0.05, 20240611
+WARM_STEPS, STEPS, ROUND, TRAIN_STRIDE, HIGH, LOW, STUTTER, HOLD, ROBUST, RATE, DECAY, SEED = 60, 260, 64, 24, 48, 96, 16, 5, 0.7, 0.02, 0.05, 20240611
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -59,14 +67,8 @@ def character_grams(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) ->
 
 def summed(rows: np.ndarray, to: np.ndarray, size: int) -> np.ndarray:
     """The rows added up by their numbers below size; a negative number is left out."""
-    out = np.zeros((size, rows.shape[1]), dtype=np.float32)
-    order = np.argsort(to, kind="stable")
-    to = to[order]
-    first = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]])) if len(to) else to
-    if len(first):
-        sums, at = np.add.reduceat(rows[order], first, axis=0), to[first]
-        out[at[at >= 0]] = sums[at >= 0]
-    return out
+    to = np.where(to >= 0, to, size)
+    return np.stack([np.bincount(to, weights=column, minlength=size + 1)[:size] for column in np.ascontiguousarray(rows.T)], axis=1).astype(np.float32)
 
 
 def word_hashes(words: Words, powers: Powers, limit: int = 1 << 20) -> np.ndarray:
@@ -85,7 +87,7 @@ def word_hashes(words: Words, powers: Powers, limit: int = 1 << 20) -> np.ndarra
 class Encoded:
     """Distinct words of a batch of texts and the texts' windows as rows of word numbers (-1 pads)."""
 
-    def __init__(self, texts: pa.Array, powers: Powers) -> None:
+    def __init__(self, texts: pa.Array, powers: Powers, stride: int = STRIDE) -> None:
         words = Words(*buffer_of(pc.utf8_lower(texts.cast(pa.large_string()))), alphanumeric())
         hashes = word_hashes(words, powers)
         self.keys, where, number = np.unique(hashes, return_index=True, return_inverse=True)
@@ -93,12 +95,13 @@ class Encoded:
         self.gram_starts, self.gram_sizes = np.cumsum(sizes) - sizes, sizes
         self.grams = character_grams(words.data, starts, sizes)
         self.counts = np.diff(words.first)
-        per = np.where(self.counts > WINDOW, -(-(self.counts - WINDOW) // STRIDE) + 1, np.minimum(self.counts, 1))
+        per = np.where(self.counts > WINDOW, -(-(self.counts - WINDOW) // stride) + 1, np.minimum(self.counts, 1))
         self.text = np.repeat(np.arange(len(per)), per)
         nth = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
         count = self.counts[self.text]
-        self.start = np.minimum(nth * STRIDE, np.maximum(count - WINDOW, 0))
-        number, first = number.astype(np.int32), words.first[:-1][self.text]
+        self.start = np.minimum(nth * stride, np.maximum(count - WINDOW, 0))
+        self.numbers, first = number.astype(np.int32), words.first[:-1][self.text]
+        self.at, number = first + self.start, self.numbers
         self.windows = np.full((len(self.text), WINDOW), -1, dtype=np.int32)
         for j in range(WINDOW):
             inside = self.start + j < count
@@ -113,7 +116,7 @@ class Network:
         self.vocabulary = vocabulary  # sorted word hashes; vector 0 is for other words
         self.p = {
             "word": rng.normal(0, 0.05, (len(vocabulary) + 1, WORD)),
-            "char": rng.normal(0, 0.05, (1 << BUCKET_BITS, CHAR)),
+            "char": np.zeros((1 << BUCKET_BITS, CHAR)),  # byte runs that training never meets say nothing
             "v": rng.normal(0, 0.3, 2 * HIDDEN),
             "u": rng.normal(0, 0.3, 2 * HIDDEN),
             "c": np.array([-1.0]),
@@ -180,43 +183,114 @@ class Network:
         de = w * (dw - (w * dw).sum(axis=1, keepdims=True))
         ds = w[:, :, None] * dp[:, None, :] + (de[:, :, None] * p["v"]) * (1 - a * a)
         g["v"] = np.einsum("nt,nth->h", de, a)
-        dx = np.zeros_like(x)
+        n, steps = windows.shape
+        inputs, dx = x[windows], np.zeros((n, steps, x.shape[1]), dtype=x.dtype)
         for d, to in (("f", slice(0, h)), ("b", slice(h, 2 * h))):
-            dwh, at, all_dg = np.zeros_like(p["h" + d]), [], []
-            back = np.zeros((len(windows), h), dtype=np.float32)
+            dwh, dg = np.zeros_like(p["h" + d]), np.zeros((n, steps, 3 * h), dtype=x.dtype)
+            back = np.zeros((n, h), dtype=np.float32)
             for t, now, z, reset, new, rn in reversed(trace[d]):
                 m = mask[:, t, None]
                 dh = np.where(m, back + ds[:, t, to], 0)
                 dn = dh * z * (1 - new * new)
                 dz = dh * (new - now) * z * (1 - z)
                 dr = dn * rn * reset * (1 - reset)
-                dg = np.concatenate([dz, dr, dn], axis=1)
+                dg[:, t] = np.concatenate([dz, dr, dn], axis=1)
                 dq = np.concatenate([dz, dr, dn * reset], axis=1)
                 dwh += now.T @ dq
-                at.append(windows[:, t])
-                all_dg.append(dg)
-                back = np.where(m, dh * (1 - z) + dq @ p["h" + d].T, back + ds[:, t, to] * 0)
-            da = summed(np.concatenate(all_dg), np.concatenate(at), len(x))
-            g["h" + d], g["x" + d], g["o" + d] = dwh, x.T @ da, da.sum(axis=0)
-            dx += da @ p["x" + d].T
+                back = np.where(m, dh * (1 - z) + dq @ p["h" + d].T, back)
+            flat = dg.reshape(-1, 3 * h)
+            g["h" + d], g["x" + d], g["o" + d] = dwh, inputs.reshape(n * steps, -1).T @ flat, flat.sum(axis=0)
+            dx += dg @ p["x" + d].T
+        dx = summed(dx.reshape(n * steps, -1), windows.reshape(-1), len(x))
         return g, dx
 
-    def scores(self, e: Encoded, block: int = 4096) -> np.ndarray:
-        """The probability of each window."""
-        x, _ = self.inputs(e)
-        parts = [self.forward(x, e.windows[i : i + block])[0] for i in range(0, len(e.windows), block)]
-        return sigmoid(np.concatenate(parts)) if parts else np.zeros(0, dtype=np.float32)
-
+    def projected(self, x: np.ndarray) -> dict[str, np.ndarray]:
+        """For either direction, what each distinct word adds to the gates (update and reset negated, candidate doubled)."""
+        return {d: (x @ self.p["x" + d] + self.p["o" + d]) * np.repeat(np.array([-1, -1, 2], dtype=np.float32), HIDDEN) for d in "fb"}
 
-def lift(high: np.ndarray, among: np.ndarray, rate: float, prior: float = 3.0) -> np.ndarray:
-    """Log of how much likelier toxic the texts that hold something are than all, drawn to 0 where they are few."""
-    return 1.5 * np.log((high + prior) / (among * rate + prior))
+    def logits(self, ahead: dict[str, np.ndarray], words: np.ndarray, at: np.ndarray, inside: np.ndarray) -> np.ndarray:
+        """forward()'s scores, without a trace, of the windows that begin at words[at]; inside: which of their places hold a word.
 
-
-def trained(texts: list[str], toxic: list[int]) -> Network | None:
-    """The network fitted to texts and their labels; None where there is nothing to tell apart."""
-    if not texts:
-        return None
+        Windows lie along the last axis and exp() is the only function, which numpy is fastest on.
+        """
+        p, (n, steps), h = self.p, inside.shape, HIDDEN
+        mask, states, places = np.ascontiguousarray(inside.T), np.zeros((steps, 2 * h, n), dtype=np.float32), np.minimum(at + np.arange(steps)[:, None], len(words) - 1)
+        limit, scale = np.float32(60), np.repeat(np.array([-1, -1, 2], dtype=np.float32), h)[:, None]
+        for d, order, to in (("f", range(steps), slice(0, h)), ("b", range(steps - 1, -1, -1), slice(h, 2 * h))):
+            wh, now, table = np.ascontiguousarray(p["h" + d].T) * scale, np.zeros((h, n), dtype=np.float32), np.ascontiguousarray(ahead[d][words].T)
+            for t in order:
+                g, r = np.take(table, places[t], axis=1, mode="wrap"), wh @ now
+                gates = g[: 2 * h]
+                gates += r[: 2 * h]
+                np.exp(np.minimum(gates, limit, out=gates), out=gates)
+                gates += 1
+                np.reciprocal(gates, out=gates)
+                new = np.multiply(gates[h:], r[2 * h :], out=r[2 * h :])
+                new += g[2 * h :]
+                np.exp(np.minimum(new, limit, out=new), out=new)  # tanh(v) is 1 - 2 / (exp(2 v) + 1)
+                new += 1
+                np.divide(np.float32(-2), new, out=new)
+                new += 1
+                new -= now
+                new *= gates[:h]
+                new *= mask[t]
+                now = np.add(now, new, out=states[t, to])
+        a = np.exp(np.minimum(states * np.float32(2), limit))
+        a += 1
+        np.divide(np.float32(-2), a, out=a)
+        e = np.where(mask, p["v"] @ a, np.float32(-1e9))  # but for the sum of v, which all steps share
+        w = np.exp(e - e.max(axis=0))
+        return (w * (p["u"] @ states)).sum(axis=0) / w.sum(axis=0) + p["c"][0]
+
+    def every(self, e: Encoded, block: int = 1024) -> np.ndarray:
+        """The score of each window before the sigmoid."""
+        ahead, out = self.projected(self.inputs(e)[0]), [np.zeros(0, dtype=np.float32)]
+        for i in range(0, len(e.at), block):
+            at = e.at[i : i + block]
+            out.append(self.logits(ahead, e.numbers[at[0] : at[-1] + WINDOW], at - at[0], e.windows[i : i + block] >= 0))
+        return np.concatenate(out)
+
+    def scores(self, e: Encoded) -> np.ndarray:
+        """The probability of each window."""
+        return sigmoid(self.every(e))
+
+    def gradients(self, e: Encoded, windows: np.ndarray, label: np.ndarray, weight: np.ndarray, robust: float) -> dict:
+        """Gradients of the weighted loss over some windows, as rows of e's word numbers."""
+        rows, inverse = np.unique(windows, return_inverse=True)  # only the words at hand
+        pad = int(rows[0] == -1)
+        sub, windows = rows[pad:], inverse.reshape(windows.shape) - pad
+        x, known = self.inputs_of(e, sub)
+        logit, trace = self.forward(x, windows, keep=True)
+        p = sigmoid(logit)
+        right = np.where(label > 0, p, 1 - p)
+        g, dx = self.backward(x, windows, trace, (weight * right**robust * (p - label) / weight.sum()).astype(np.float32))
+        g["word"] = summed(dx[:, :WORD], np.where(known > 0, known, -1), len(self.p["word"]))
+        sizes = e.gram_sizes[sub]
+        at = np.repeat(e.gram_starts[sub], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        dc = np.repeat(dx[:, WORD:] / (len(GRAMS) * sizes[:, None]), sizes, axis=0).astype(np.float32)
+        g["char"] = summed(np.concatenate([dc] * len(GRAMS)), e.grams[:, at].reshape(-1), len(self.p["char"]))
+        return g
+
+
+class Adam:
+    """Steps of falling size; vectors of words and byte runs also shrink."""
+
+    def __init__(self, net: Network) -> None:
+        self.net, self.step = net, 0
+        self.m, self.s = ({k: np.zeros_like(v) for k, v in net.p.items()} for _ in range(2))
+
+    def take(self, g: dict) -> None:
+        self.step += 1
+        rate, p = RATE * min(1.0, 2 * (1 - self.step / (STEPS + 1))), self.net.p
+        for k, m in self.m.items():
+            m += np.float32(0.1) * (g[k] - m)
+            self.s[k] += np.float32(0.01) * (g[k] ** 2 - self.s[k])
+            move = (m / (1 - 0.9**self.step)) / (np.sqrt(self.s[k] / (1 - 0.99**self.step)) + 1e-6)
+            p[k] = (p[k] * (1 - DECAY * rate * (k in ("word", "char"))) - rate * move).astype(np.float32)
+
+
+def spokesmen(texts: list[str]) -> list[int]:
+    """Of near copies among the texts the first alone, so that no single text's words seem frequent; none for texts without words."""
     has, mins, powers = [], [np.zeros((0, 64), dtype=np.uint32)], Powers()
     for i in range(0, len(texts), 64):  # a few texts at a time, to bound memory
         grams, bounds = shingle_hashes(pa.array(texts[i : i + 64], type=pa.large_string()), 3, powers)
@@ -224,99 +298,94 @@ def trained(texts: list[str], toxic: list[int]) -> Network | None:
         if len(some):
             has += (i + some).tolist()
             mins.append(minima(grams, bounds, 64))
-    if not has:
-        return None
-    # of near copies in the sample the first speaks for all, so that no single text's words seem frequent
-    mins, first = np.concatenate(mins), {}
-    own = [i for i, row in zip(has, mins) if min([first.setdefault((j, row[j : j + 3].tobytes()), i) for j in range(0, 63, 3)]) == i]
-    texts, y = [texts[i] for i in own], np.array([toxic[i] for i in own], dtype=np.float32)
-    if y.min() == y.max():
-        return None
-    e = Encoded(pa.array(texts, type=pa.large_string()), Powers())
-    # words of MIN_TEXTS texts have a vector of their own; its first value starts as their lift
-    blocks = []  # (text, word) once each, for some texts at a time
-    for i in range(0, len(texts), 256):
+    first: dict[tuple, int] = {}
+    return [i for i, row in zip(has, np.concatenate(mins)) if min([first.setdefault((j, row[j : j + 3].tobytes()), i) for j in range(0, 63, 3)]) == i]
+
+
+def frequent_words(e: Encoded, texts: int) -> np.ndarray:
+    """Numbers of the words that MIN_TEXTS texts have."""
+    among = np.zeros(len(e.keys), dtype=np.int64)
+    for i in range(0, texts, 256):
         lo, hi = np.searchsorted(e.text, [i, i + 256])
         key = np.repeat(e.text[lo:hi], WINDOW).reshape(-1, WINDOW) << 32 | np.maximum(e.windows[lo:hi], 0)
-        key = np.unique(key[e.windows[lo:hi] >= 0])
-        blocks.append((key >> 32, key & 0xFFFFFFFF))
-    among, high = np.zeros(len(e.keys), dtype=np.int64), np.zeros(len(e.keys))
-    for in_text, word in blocks:
-        among += np.bincount(word, minlength=len(e.keys))
-        high += np.bincount(word, weights=y[in_text], minlength=len(e.keys))
-    frequent = np.flatnonzero(among >= MIN_TEXTS)
-    net = Network(e.keys[frequent])
-    net.p["word"][1:, 0] = lift(high, among, y.mean())[frequent]
-    for grams in e.grams:  # and so do those of byte runs
-        among, high = np.zeros(1 << BUCKET_BITS, dtype=np.int64), np.zeros(1 << BUCKET_BITS)
-        for in_text, word in blocks:
-            sizes = e.gram_sizes[word]
-            at = np.repeat(e.gram_starts[word], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            pair = np.unique(np.repeat(in_text, sizes).astype(np.int64) << 32 | grams[at])
-            text, bucket = pair >> 32, pair & 0xFFFFFFFF
-            among += np.bincount(bucket, minlength=1 << BUCKET_BITS)
-            high += np.bincount(bucket, weights=y[text], minlength=1 << BUCKET_BITS)
-        use = among >= MIN_TEXTS
-        net.p["char"][use, 0] = lift(high, among, y.mean())[use]
-    rng, label = np.random.default_rng(SEED), y[e.text]
-    m = {k: np.zeros_like(v) for k, v in net.p.items()}
-    s = {k: np.zeros_like(v) for k, v in net.p.items()}
-    step, clean = 0, np.flatnonzero(label == 0)
-    while step < STEPS:
-        x, known = net.inputs(e)
-        if step < WARM_STEPS:
-            use = np.arange(len(label))
-            weight = np.where(label > 0, 1.0, max(1e-3, label.sum() / (len(label) - label.sum())))
-        else:
-            score = np.concatenate([net.forward(x, e.windows[i : i + 1024])[0] for i in range(0, len(label), 1024)])
-            order = np.lexsort((-score, e.text))
-            top = order[np.concatenate([[True], np.diff(e.text[order]) > 0])]
-            # a toxic text's highest window holds its label; the lowest TRIM of these are taken for wrong labels
-            high_top = top[label[top] > 0]
-            high_top = high_top[np.argsort(score[high_top], kind="stable")[int(TRIM * len(high_top)) :]]
-            use = np.concatenate([high_top, clean[score[clean] > -3], rng.choice(clean, min(len(clean), 4 * len(high_top)), replace=False)])
-            weight = np.ones(len(label))
-            weight[high_top] = 0.5 * (len(use) - len(high_top)) / max(1, len(high_top))
-        use = np.concatenate([rng.permutation(use) for _ in range(PASSES)])
-        for i in range(0, len(use), 128):
-            b = use[i : i + 128]
-            rows, inverse = np.unique(e.windows[b], return_inverse=True)  # only the words at hand
-            inverse = inverse.reshape(len(b), -1)
-            pad = rows[0] == -1
-            sub = rows[1:] if pad else rows
-            x, known = net.inputs_of(e, sub)
-            windows = inverse - 1 if pad else inverse
-            logit, trace = net.forward(x, windows, keep=True)
-            g, dx = net.backward(x, windows, trace, (weight[b] * (sigmoid(logit) - label[b]) / weight[b].sum()).astype(np.float32))
-            g["word"] = summed(dx[:, :WORD], np.where(known > 0, known, -1), len(net.p["word"]))
-            sizes = e.gram_sizes[sub]
-            at = np.repeat(e.gram_starts[sub], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            dc = np.repeat(dx[:, WORD:] / (len(GRAMS) * sizes[:, None]), sizes, axis=0).astype(np.float32)
-            g["char"] = summed(np.concatenate([dc] * len(GRAMS)), e.grams[:, at].reshape(-1), len(net.p["char"]))
-            step += 1
-            rate = 0.01 * min(1.0, 2 * (1 - step / (STEPS + 1)))
-            for k in net.p:
-                m[k] = 0.9 * m[k] + 0.1 * g[k]
-                s[k] = 0.99 * s[k] + 0.01 * g[k] ** 2
-                net.p[k] = (net.p[k] * (1 - 0.2 * rate * (k in ("word", "char"))) - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
-            if step == WARM_STEPS or step >= STEPS:
-                break
-    return net
-
-
-def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network | None:
-    """The network trained on at most sample labelled rows of docs."""
+        among += np.bincount(np.unique(key[e.windows[lo:hi] >= 0]) & 0xFFFFFFFF, minlength=len(e.keys))
+    return np.flatnonzero(among >= MIN_TEXTS)
+
+
+def stuttered(windows: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Windows that say one to three words of each window over and over."""
+    out = np.empty_like(windows)
+    for i, w in enumerate(windows):
+        k = rng.integers(1, 4)
+        out[i] = np.repeat(rng.choice(w[w >= 0], k), -(-WINDOW // k))[:WINDOW]
+    return out
+
+
+def highest(e: Encoded, score: np.ndarray) -> np.ndarray:
+    """The number of each text's highest window."""
+    order = np.lexsort((-score, e.text))
+    return order[np.concatenate([[True], np.diff(e.text[order]) > 0])]
+
+
+def trained(texts: list[str], toxic: list[int]) -> Network | None:
+    """The network fitted to texts and their labels; None where there is nothing to tell apart."""
+    own = spokesmen(texts)
+    texts, y = [texts[i] for i in own], np.array([toxic[i] for i in own], dtype=np.float32)
+    if not len(y) or y.min() == y.max():
+        return None
+    e = Encoded(pa.array(texts, type=pa.large_string()), Powers(), TRAIN_STRIDE)
+    net = Network(e.keys[frequent_words(e, len(texts))])
+    adam, rng, label = Adam(net), np.random.default_rng(SEED), y[e.text]
+    held = np.zeros(len(y), dtype=bool)
+    for kind in (0, 1):  # some of either kind, none where one text is all there is
+        held[np.flatnonzero(y == kind)[HOLD - 1 :: HOLD]] = True
+    held = held[e.text]
+    high, clean = np.flatnonzero((label > 0) & ~held), np.flatnonzero((label == 0) & ~held)
+    rest, best, kept = clean, np.inf, net.p
+    while True:
+        if adam.step:
+            score = net.every(e)
+            top = highest(e, score)
+            loss = held_loss(sigmoid(score[top[held[top]]]), label[top[held[top]]])
+            if loss < best or not held.any():
+                best, kept = loss, dict(net.p)
+            if adam.step >= STEPS:
+                net.p = kept
+                return net
+            high = top[(label[top] > 0) & ~held[top]]
+            hard = clean[score[clean] > -2]
+            hard = rng.permutation(hard)[: max(1, len(clean) // 4)]
+            rest = np.concatenate([hard, rng.permutation(clean)[: 6 * len(high)]])
+        for _ in range(min(ROUND if adam.step else WARM_STEPS, STEPS - adam.step)):
+            a, b = rng.permutation(high)[:HIGH], rng.permutation(rest)[:LOW]
+            windows = e.windows[np.concatenate([a, b])]
+            windows[-STUTTER:] = stuttered(windows[-STUTTER:], rng) if len(b) >= STUTTER else windows[-STUTTER:]
+            weight = np.concatenate([np.full(len(a), 0.5 * len(b) / len(a)), np.ones(len(b))])
+            adam.take(net.gradients(e, windows, label[np.concatenate([a, b])], weight, ROBUST if adam.step >= WARM_STEPS else 0.0))
+
+
+def held_loss(p: np.ndarray, y: np.ndarray) -> float:
+    """The loss over held-out texts; toxic ones weigh a quarter of the clean ones in all."""
+    weight = np.where(y > 0, 0.25 * (y == 0).sum() / max(1, (y > 0).sum()), 1.0)
+    right = np.clip(np.where(y > 0, p, 1 - p), 1e-6, 1.0)
+    return float((weight * (1 - right**ROBUST) / ROBUST).sum() / max(1e-9, weight.sum()))
+
+
+def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, characters: int = SAMPLE_CHARS) -> Network | None:
+    """The network trained on at most sample labelled rows of docs, of at most so many characters in all."""
     own = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    chosen = own.join(docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = (
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .where("text is not null")
-        .join(F.broadcast(chosen), "doc_id")  # sample rows at most
-        .groupBy("doc_id", "toxic")
-        .agg(F.min("text").alias("text"))
-        .orderBy("doc_id")
-        .collect()
-    )
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
+    sizes = texts.groupBy("doc_id").agg(F.max(F.length("text")).alias("size"))
+    chosen, room = [], characters
+    for r in own.join(sizes, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect():
+        if r["size"] <= room:
+            chosen.append((r.doc_id, r.toxic))
+            room -= r["size"]
+    if not chosen:
+        return None
+    few = docs.sparkSession.createDataFrame(chosen, "doc_id bigint, toxic int")
+    # sample rows at most
+    rows = texts.join(F.broadcast(few), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).orderBy("doc_id").collect()
     return trained([r.text for r in rows], [int(r.toxic > 0) for r in rows])
 
 
@@ -340,8 +409,7 @@ def toxic_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
     """
 
     def out(part: pa.RecordBatch, e: Encoded, scores: np.ndarray) -> pa.RecordBatch:
-        order = np.lexsort((e.start, -scores, e.text))
-        top = order[np.concatenate([[True], np.diff(e.text[order]) > 0])] if len(order) else order
+        top = highest(e, scores) if len(scores) else np.zeros(0, dtype=np.int64)  # of equals the first, as the order is stable
         top = top[scores[top] >= threshold]
         text = e.text[top]
         every, high = np.bincount(e.text, minlength=len(part)), np.bincount(e.text[scores >= threshold], minlength=len(part))
