@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -9,7 +12,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -18,10 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir. Where that is unset (tests), a folder of our own."""
+    """The folder all executors share: spark.checkpoint.dir. In local mode, where it may be unset, a folder of our own that goes with the process."""
     told = spark.conf.get("spark.checkpoint.dir", None)
     if not told:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         told = tempfile.mkdtemp(prefix="leafmill-")
+        atexit.register(shutil.rmtree, told, True)
         spark.conf.set("spark.checkpoint.dir", told)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(told)
@@ -52,9 +58,25 @@ def map_rows(docs: DataFrame, run: Callable) -> DataFrame:
     return own.mapInArrow(run, own.schema).toDF(*docs.columns)
 
 
+def row_hash(seed: int, *columns: str) -> Column:
+    """64 bits of the values of columns and of which are null."""
+    return F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in columns], *[F.col(f"`{c}`").isNull() for c in columns])
+
+
 def row_key(*columns: str) -> Column:
-    """64 bits that stand for a row in narrow shuffles; equal for repeated rows only (but for collisions)."""
-    return F.xxhash64(*[F.col(c) for c in columns], *[F.col(c).isNull() for c in columns])
+    """128 bits, as bytes, that stand for a row in narrow shuffles; equal for repeated rows only (but for collisions, of which 10**12 rows have about 10**-15)."""
+    return F.unhex(F.concat(*[F.lpad(F.hex(row_hash(seed, *columns)), 16, "0") for seed in (0, 1)]))
+
+
+def hashable(docs: DataFrame) -> list[str]:
+    """The columns that row_hash() takes: all but those of a type that can't be compared, such as maps."""
+    return [f.name for f in docs.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
+
+
+def one_of_each(docs: DataFrame, keys: list[str]) -> DataFrame:
+    """One row for each value of keys, that of least hash over all columns; rows that tie there are alike."""
+    w = Window.partitionBy(*keys).orderBy(row_hash(2, *hashable(docs)), row_hash(3, *hashable(docs)))
+    return docs.withColumn("__leafmill_nth", F.row_number().over(w)).where("__leafmill_nth = 1").drop("__leafmill_nth")
 
 
 def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:

@@ -7,8 +7,10 @@ the shard's suffix array is sorted by prefix doubling, its Burrows-Wheeler trans
 a wavelet matrix, all phrases (the n-grams of every benchmark item) are searched backwards at
 once by its ranks, and occurrences are located by walking to sampled suffix positions.
 Overlapping or touching occurrences merge into removal spans. The documents are read once and
-never shuffled. The phrases go to the tasks as one value while they are within PHRASE_WORDS;
-a larger benchmark is searched in several passes of at most about that many words each.
+never shuffled. The phrases go to the tasks as flat arrays, about 20 bytes a benchmark word; a
+benchmark of more than PHRASE_WORDS words is searched in as many maps over the same batches, each
+of which notes its occurrences beside the row; they merge after the last. So the limit bounds
+memory and changes no result.
 
 Cases: an item of MIN_WORDS to n - 1 words is one phrase; a shorter, empty or null one has no
 phrase. A null or empty text has no spans. Repeated rows give repeated spans. A null doc_id is
@@ -23,13 +25,13 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm.common import map_rows, pieces
-from leafmill.llm.tokens import Powers, Words, alphanumeric, buffer_of, byte_values
+from leafmill.llm.tokens import Powers, Words, alphanumeric, buffer_of, byte_values, gram_hashes
 
-N, MIN_WORDS, PHRASE_WORDS, SHARD_BYTES, SAMPLE = 8, 4, 4_000_000, 1 << 22, 8
+N, MIN_WORDS, PHRASE_WORDS, SHARD_BYTES, SAMPLE = 8, 4, 1_000_000, 1 << 22, 8
 NOTED = "__leafmill_spans"
 
 
@@ -96,24 +98,25 @@ class FMIndex:
         before[order == 0] = 0
         self.before, self.n = before, n
         self.wavelet = WaveletMatrix(before, max(1, int(size).bit_length()))
-        self.starts = np.concatenate([[0], np.cumsum(np.bincount(symbols, minlength=size + 1))])
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(symbols, minlength=size + 2))])
         # sampled: every sample-th position, and those after a separator, which no walk passes
         self.sampled = (order % sample == 0) | (before == 0)
         self.samples = order[self.sampled]
         self.sample_rank = np.concatenate([[0], np.cumsum(self.sampled)])
 
-    def search(self, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """phrases: a row each, of one length. Numbers of those that occur, and their suffix ranges."""
-        which = np.arange(len(phrases))
-        low, high = np.zeros(len(phrases), dtype=np.int64), np.full(len(phrases), self.n, dtype=np.int64)
-        for at in range(phrases.shape[1] - 1, -1, -1):
-            symbol = phrases[which, at]
-            low = self.starts[symbol] + self.wavelet.rank(symbol, low)
-            high = self.starts[symbol] + self.wavelet.rank(symbol, high)
-            alive = low < high
-            which, low, high = which[alive], low[alive], high[alive]
+    def search(self, words: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The phrases are words[at], size words each. Numbers of those that occur, and their suffix ranges."""
+        symbol = words[at + size - 1]
+        low, high = self.starts[symbol], self.starts[symbol + 1]
+        which = np.flatnonzero(low < high)  # most phrases end here, with a word that the shard doesn't have
+        low, high = low[which], high[which]
+        for back in range(size - 2, -1, -1):
             if not len(which):
                 break
+            symbol = words[at[which] + back]
+            low, high = (self.starts[symbol] + self.wavelet.rank(symbol, x) for x in (low, high))
+            alive = low < high
+            which, low, high = which[alive], low[alive], high[alive]
         return which, low, high
 
     def locate(self, rows: np.ndarray) -> np.ndarray:
@@ -130,37 +133,57 @@ class FMIndex:
 
 
 class Phrases:
-    """The benchmark's phrases as word numbers, by length, with the items each comes from."""
+    """The benchmark's phrases: its words as numbers, where each distinct phrase of a size begins, and the items each comes from."""
 
     def __init__(self, items: list[tuple[int | None, str | None]], n: int, min_words: int) -> None:
-        texts = pa.array([t for _, t in items], type=pa.large_string())
-        words = Words(*buffer_of(pc.utf8_lower(texts)), alphanumeric())
-        hashes = words.hashes(byte_values(), Powers())
+        words = Words(*buffer_of(pc.utf8_lower(pa.array([t for _, t in items], type=pa.large_string()))), alphanumeric())
+        hashes, powers = words.hashes(byte_values(), Powers()), Powers()
         self.vocabulary = np.unique(hashes)
-        numbers = np.searchsorted(self.vocabulary, hashes) + 1
-        rows: dict[int, dict[tuple, set]] = {}
-        for i, (item, _) in enumerate(items):
-            own = numbers[words.first[i] : words.first[i + 1]].tolist()
-            size = min(n, len(own))
-            if size >= min(min_words, n):
-                for at in range(len(own) - size + 1):
-                    rows.setdefault(size, {}).setdefault(tuple(own[at : at + size]), set()).add(item)
-        self.by_size = {size: (np.array(list(d)), list(d.values())) for size, d in sorted(rows.items())}
+        self.words = (np.searchsorted(self.vocabulary, hashes) + 1).astype(np.int32)
+        counts, ids = np.diff(words.first), [i for i, _ in items]
+        self.by_size: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for size in sorted({min(n, int(c)) for c in np.unique(counts) if c >= min(min_words, n) and c > 0}):
+            own = np.flatnonzero(counts == size) if size < n else np.flatnonzero(counts >= n)
+            per = counts[own] - size + 1
+            at = np.repeat(words.first[own] - np.cumsum(per) + per, per) + np.arange(per.sum())
+            of = np.repeat(own, per)
+            _, first, number = np.unique(gram_hashes(hashes, size, powers)[at], return_index=True, return_inverse=True)
+            other = np.zeros(len(at), dtype=bool)
+            for j in range(size):  # phrases whose hashes alone are equal stay apart
+                other |= self.words[at + j] != self.words[at[first][number] + j]
+            number[other] = len(first) + np.arange(other.sum())
+            order = np.lexsort((of, number))
+            self.by_size[size] = (
+                np.concatenate([at[first], at[other]]).astype(np.int64), np.searchsorted(number[order], np.arange(len(first) + other.sum() + 1)),
+                np.array([np.iinfo(np.int64).min if ids[i] is None else ids[i] for i in of[order]], dtype=np.int64),
+            )
         self.shortest = min(self.by_size, default=0)
 
 
+def united(spans: list[tuple[int, int, list]]) -> list[tuple[int, int, list]]:
+    """The spans in order, those that overlap or touch made one, each with its items in order."""
+    out: list[list] = []
+    for a, b, items in sorted(spans, key=lambda s: s[:2]):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+            out[-1][2].append(items)
+        else:
+            out.append([a, b, [items]])
+    return [(a, b, np.unique(np.concatenate(items)) if len(items) > 1 else np.unique(items[0])) for a, b, items in out]
+
+
 class Shard:
     """Removal spans of a batch of texts."""
 
     def __init__(self, phrases: Phrases) -> None:
         self.phrases, self.powers, self.values, self.table = phrases, Powers(), byte_values(), alphanumeric()
 
-    def spans(self, texts: pa.Array) -> tuple[Words, list[tuple[int, int, int, list]]]:
-        """The words, and (text number, first word, word after the last, items) of each span in order; words count from the text's first."""
+    def spans(self, texts: pa.Array) -> tuple[Words, dict[int, list[tuple[int, int, np.ndarray]]]]:
+        """The words, and by text the occurrences: first word, word after the last, items; words count from the text's first."""
         words = Words(*buffer_of(pc.utf8_lower(texts.cast(pa.large_string()))), self.table)
-        ph = self.phrases
+        ph, found = self.phrases, {}
         if not ph.by_size or not len(words):
-            return words, []
+            return words, found
         hashes = words.hashes(self.values, self.powers)
         number = np.searchsorted(ph.vocabulary, hashes)
         number[number == len(ph.vocabulary)] = 0
@@ -172,7 +195,7 @@ class Shard:
         long = end - start >= ph.shortest
         start, end = start[long], end[long]
         if not len(start):
-            return words, []
+            return words, found
         sizes = end - start
         to = np.concatenate([[0], np.cumsum(sizes + 1)])
         place = np.arange(sizes.sum()) + np.repeat(np.arange(len(sizes)), sizes)
@@ -181,27 +204,20 @@ class Shard:
         symbols = np.zeros(to[-1], dtype=np.int64)
         symbols[place] = number[source[place]] + 1
         index = FMIndex(symbols, len(ph.vocabulary))
-        hits: list[tuple[int, int, set]] = []
-        for size, (rows, items) in ph.by_size.items():
-            which, low, high = index.search(rows)
-            if len(which):
-                counts = high - low
-                every = np.repeat(low - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
-                at = source[index.locate(every)]
-                hits += [(int(w), int(w) + size, items[p]) for w, p in zip(at, np.repeat(which, counts))]
-        hits.sort(key=lambda x: x[:2])
-        texts_of = np.searchsorted(words.first, np.array([h[0] for h in hits], dtype=np.int64), side="right") - 1
-        merged: list[list] = []
-        for (a, b, items), text in zip(hits, texts_of.tolist()):
-            if merged and merged[-1][0] == text and a <= merged[-1][2]:
-                merged[-1][2] = max(merged[-1][2], b)
-                merged[-1][3] |= items
-            else:
-                merged.append([text, a, b, set(items)])
-        return words, [(t, a - int(words.first[t]), b - int(words.first[t]), sorted(i for i in s if i is not None)) for t, a, b, s in merged]
-
-
-def benchmark_blocks(benchmark: DataFrame, n: int, min_words: int, limit: int) -> list[Phrases]:
+        for size, (phrase_at, bounds, items) in ph.by_size.items():
+            which, low, high = index.search(ph.words, phrase_at, size)
+            if not len(which):
+                continue
+            counts = high - low
+            every = np.repeat(low - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
+            at = source[index.locate(every)]
+            text = np.searchsorted(words.first, at, side="right") - 1
+            for t, w, p in zip(text.tolist(), (at - words.first[text]).tolist(), np.repeat(which, counts).tolist()):
+                found.setdefault(t, []).append((w, w + size, items[bounds[p] : bounds[p + 1]]))
+        return words, found
+
+
+def blocks_of(benchmark: DataFrame, n: int, min_words: int, limit: int) -> list[Phrases]:
     """Phrases of the benchmark in blocks of about limit words at most."""
     own = benchmark.selectExpr("cast(item_id as bigint) item_id", "cast(text as string) text")
     # a word takes two characters at least, its separator included
@@ -211,46 +227,60 @@ def benchmark_blocks(benchmark: DataFrame, n: int, min_words: int, limit: int) -
     return [Phrases([tuple(r) for r in own.where(block == i).orderBy("item_id", "text").collect()], n, min_words) for i in range(blocks)]
 
 
+NOTES = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64()), ("items", pa.list_(pa.int64()))]))
+
+
+def noting(phrases: Phrases) -> Callable:
+    """A map that adds its occurrences to those noted beside each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = Shard(phrases)
+        for part in pieces(batches, "text", SHARD_BYTES):
+            _, found = shard.spans(part.column("text"))
+            if found:
+                at = part.schema.get_field_index(NOTED)
+                old = part.column(at).to_pylist()
+                new = [[*(old[t] or ()), *({"a": a, "b": b, "items": items} for a, b, items in united(found[t]))] if t in found else old[t] for t in range(len(part))]
+                part = part.set_column(at, part.schema.field(at), pa.array(new, type=NOTES))
+            yield part
+
+    return run
+
+
+def searched(docs: DataFrame, benchmark: DataFrame, n: int, min_words: int, limit: int) -> tuple[DataFrame, Phrases]:
+    """docs with the occurrences of all blocks but the last noted (where there are several), and the last block."""
+    *others, last = blocks_of(benchmark, n, min_words, limit)
+    for i, phrases in enumerate(others):
+        docs = map_rows(docs if i else docs.withColumn(NOTED, F.lit(None).cast("array<struct<a:bigint,b:bigint,items:array<bigint>>>")), noting(phrases))
+    return docs, last
+
+
+def with_noted(part: pa.RecordBatch, found: dict) -> dict[int, list[tuple[int, int, np.ndarray]]]:
+    """By text, the merged spans of what was found and what was noted before."""
+    at = part.schema.get_field_index(NOTED)
+    for t, notes in enumerate(part.column(at).to_pylist() if at >= 0 else ()):
+        for x in notes or ():
+            found.setdefault(t, []).append((x["a"], x["b"], np.array(x["items"], dtype=np.int64)))
+    return {t: united(found[t]) for t in sorted(found)}
+
+
 def contaminated_spans(docs: DataFrame, benchmark: DataFrame, n: int = N, min_words: int = MIN_WORDS, limit: int = PHRASE_WORDS) -> DataFrame:
-    """(doc_id, start_word, end_word, item_id, n_items): the removal spans; end_word is the one after the last, item_id the least of the n_items that the span matches."""
-
-    def scan(phrases: Phrases) -> Callable:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            shard = Shard(phrases)
-            for part in pieces(batches, "text", SHARD_BYTES):
-                _, found = shard.spans(part.column("text"))
-                if found:
-                    t, a, b, items = zip(*found)
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column("doc_id").take(pa.array(t)), part.column("row").take(pa.array(t)), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(items, pa.list_(pa.int64()))],
-                        names=["doc_id", "row", "start_word", "end_word", "item_ids"],
-                    )
-
-        return run
-
-    blocks = benchmark_blocks(benchmark, n, min_words, limit)
-    own = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    if len(blocks) > 1:  # spans of several passes meet again by row
-        own = own.withColumn("row", F.concat_ws(":", F.spark_partition_id(), F.monotonically_increasing_id()))
-    else:
-        own = own.withColumn("row", F.lit(""))
-    parts = [own.mapInArrow(scan(p), "doc_id bigint, row string, start_word bigint, end_word bigint, item_ids array<bigint>") for p in blocks]
-    if len(parts) == 1:
-        return labelled(parts[0])
-    both = parts[0]
-    for p in parts[1:]:
-        both = both.unionByName(p)
-    w = Window.partitionBy("doc_id", "row").orderBy("start_word", "end_word")
-    new = F.coalesce((F.col("start_word") > F.max("end_word").over(w.rowsBetween(Window.unboundedPreceding, -1))).cast("int"), F.lit(0))
-    return labelled(
-        both.withColumn("island", F.sum(new).over(w))
-        .groupBy("doc_id", "row", "island")
-        .agg(F.min("start_word").alias("start_word"), F.max("end_word").alias("end_word"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"))
-    )
-
-
-def labelled(spans: DataFrame) -> DataFrame:
-    return spans.select("doc_id", "start_word", "end_word", F.get("item_ids", F.lit(0)).alias("item_id"), F.size("item_ids").alias("n_items"))
+    """(doc_id, start_word, end_word, item_id, n_items): the removal spans; end_word is the one after the last, item_id the least of the n_items that the span matches (items without an id aren't counted)."""
+    noted, last = searched(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")), benchmark, n, min_words, limit)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = Shard(last)
+        for part in pieces(batches, "text", SHARD_BYTES):
+            by = with_noted(part, shard.spans(part.column("text"))[1])
+            rows = [(t, a, b, items[items != np.iinfo(np.int64).min]) for t, spans in by.items() for a, b, items in spans]
+            if rows:
+                t, a, b, items = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").take(pa.array(t)), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array([int(x[0]) if len(x) else None for x in items], pa.int64()), pa.array([len(x) for x in items], pa.int32())],
+                    names=["doc_id", "start_word", "end_word", "item_id", "n_items"],
+                )
+
+    return noted.mapInArrow(run, "doc_id bigint, start_word bigint, end_word bigint, item_id bigint, n_items int")
 
 
 def without_spans(text: str, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> str:
@@ -263,69 +293,36 @@ def without_spans(text: str, data: np.ndarray, starts: np.ndarray, ends: np.ndar
     return "".join([*kept, text[at:]])
 
 
-def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The spans in order, those that overlap or touch made one."""
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], b))
-        else:
-            out.append((a, b))
-    return out
-
-
 def decontaminated(docs: DataFrame, benchmark: DataFrame, n: int = N, min_words: int = MIN_WORDS, limit: int = PHRASE_WORDS) -> DataFrame:
     """The documents with the spans cut from their texts; one that has no other words goes.
 
     Columns are those of docs; rows without a span are unchanged, null and empty texts included.
-    Each pass but the last only notes its spans beside the row, so all passes search the original
-    text, and the last cuts what any of them found.
     """
-
-    def scan(phrases: Phrases, last: bool) -> Callable:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            shard = Shard(phrases)
-            for part in pieces(batches, "text", SHARD_BYTES):
-                words, found = shard.spans(part.column("text"))
-                by: dict[int, list[tuple[int, int]]] = {}
-                noted = part.schema.get_field_index(NOTED)
-                if noted >= 0:
-                    for t, flat in enumerate(part.column(noted).to_pylist()):
-                        if flat:
-                            by[t] = list(zip(flat[::2], flat[1::2]))
-                for t, a, b, _ in found:
-                    by.setdefault(t, []).append((a, b))
-                if not by:
-                    yield part
-                    continue
-                if not last:
-                    flat = [[x for span in by[t] for x in span] if t in by else None for t in range(len(part))]
-                    yield part.set_column(noted, part.schema.field(noted), pa.array(flat, type=part.schema.field(noted).type))
-                    continue
-                texts, gone = part.column("text").to_pylist(), []
-                for t, spans in by.items():
-                    spans = united(spans)
-                    first, base = words.first[t], words.offsets[t]
-                    if sum(b - a for a, b in spans) == words.first[t + 1] - first:
-                        gone.append(t)
-                    a = np.array([words.starts[first + x] for x, _ in spans]) - base
-                    b = np.array([words.ends[first + y - 1] for _, y in spans]) - base
-                    texts[t] = without_spans(texts[t], words.data[base : words.offsets[t + 1]], a, b)
-                at = part.schema.get_field_index("text")
-                part = part.set_column(at, part.schema.field(at), pa.array(texts, type=part.schema.field(at).type))
-                keep = np.ones(len(part), dtype=bool)
-                keep[gone] = False
-                yield part.filter(pa.array(keep))
-
-        return run
-
-    blocks = benchmark_blocks(benchmark, n, min_words, limit)
-    if len(blocks) == 1:
-        return map_rows(docs, scan(blocks[0], True))
-    noted = docs.withColumn(NOTED, F.lit(None).cast("array<bigint>"))
-    for i, phrases in enumerate(blocks):
-        noted = map_rows(noted, scan(phrases, i == len(blocks) - 1))
-    return noted.drop(NOTED)
+    noted, last = searched(docs, benchmark, n, min_words, limit)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = Shard(last)
+        for part in pieces(batches, "text", SHARD_BYTES):
+            words, found = shard.spans(part.column("text"))
+            by = with_noted(part, found)
+            if not by:
+                yield part
+                continue
+            texts, gone = part.column("text").to_pylist(), []
+            for t, spans in by.items():
+                first, base = words.first[t], words.offsets[t]
+                if sum(b - a for a, b, _ in spans) == words.first[t + 1] - first:
+                    gone.append(t)
+                a = np.array([words.starts[first + x] for x, _, _ in spans]) - base
+                b = np.array([words.ends[first + y - 1] for _, y, _ in spans]) - base
+                texts[t] = without_spans(texts[t], words.data[base : words.offsets[t + 1]], a, b)
+            at = part.schema.get_field_index("text")
+            part = part.set_column(at, part.schema.field(at), pa.array(texts, type=part.schema.field(at).type))
+            keep = np.ones(len(part), dtype=bool)
+            keep[gone] = False
+            yield part.filter(pa.array(keep))
+
+    return map_rows(noted, run).drop(NOTED)
 
 
 ORACLE_SQL = f"""

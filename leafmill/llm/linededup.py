@@ -1,8 +1,9 @@
 """Line dedup by a deletion-neighbourhood join.
 
 Lines are what newlines separate, compared without white space at their ends. Two lines are
-copies when they are equal, or when both have NEAR_CHARS characters and one edit (a character
-put in, left out or replaced) turns one into the other. A line goes when an earlier line of
+copies when they are equal, or when both have near_chars characters and one edit (a character
+put in, left out or replaced) turns one into the other. near_chars is a parameter, NEAR_CHARS
+unless told: in shorter lines, such as numbered headings, one character is too much of the line. A line goes when an earlier line of
 the corpus, by (doc_id, line number), is its copy; the earliest stays. Copies of copies don't
 count: each line is held against all earlier lines, those that go included.
 
@@ -13,10 +14,17 @@ longer or shorter would have), and only lines that share one go on. These emit a
 variants, the line itself and every deletion of one character, as hashed keys; equal variants
 join; the edit distance of each joined pair is verified on its characters.
 
+The lines that go on are read from the documents again. A table of the PRESENT_BITS low bits of
+their hashes, of 2**PRESENT_BITS rows at most whatever the corpus, is sent to all tasks and spares
+most other lines the shuffle in which the hashes themselves are joined.
+
 Cases: blank lines stay and are nobody's copy. A null text stays null and an empty one empty.
 A row whose non-blank lines all go is dropped, as it holds nothing of its own. Rows without a
-doc_id come last in the order. Repeated rows: the first keeps its lines, the others go. Rows
-of one doc_id with different texts are ordered by text hash. Other columns stay as they are.
+doc_id come last in the order. Of rows equal in doc_id and text, whatever their other columns
+hold, one stays (that of least hash over all columns), as the others' lines are all repeated. Rows
+of one doc_id with different texts, and those without a doc_id, are ordered by text hash. A row is
+known by its doc_id and 64 bits of its text, without a doc_id by 128 bits. Other columns stay as
+they are.
 """
 
 from __future__ import annotations
@@ -28,10 +36,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import cut, row_key
+from leafmill.llm.common import cut, one_of_each, row_hash
 from leafmill.llm.tokens import INVERSE, Powers, mix
 
-NEAR_CHARS, BROADCAST_LINES = 16, 2_000_000
+NEAR_CHARS, PRESENT_BITS = 16, 20
 
 MARK = "__leafmill_"
 
@@ -60,23 +68,30 @@ def half_keys(line: Column) -> Column:
     )
 
 
+def place_of() -> list[Column]:
+    """no_id, id and row: rows of one doc_id are told apart by 64 bits, those without one by 128."""
+    return [F.col("doc_id").isNull().alias("no_id"), F.coalesce(F.col("doc_id").cast("bigint"), row_hash(1, "text")).alias("id"), row_hash(0, "text").alias("row")]
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
-    """(no_id, doc_id, row, line_no, line) of the non-blank lines."""
-    own = docs.select(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").cast("bigint").alias("doc_id"), row_key("doc_id", "text").alias("row"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    """(no_id, id, row, line_no, line) of the non-blank lines."""
+    own = docs.select(*place_of(), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     return own.withColumn("line", F.trim("line", F.lit(" \t\r\x0b\x0c"))).where("line <> ''")
 
 
-def near_pairs(lines: DataFrame, firsts: DataFrame) -> DataFrame:
+def near_pairs(lines: DataFrame, firsts: DataFrame, near_chars: int = NEAR_CHARS) -> DataFrame:
     """(h1, h2, place): the earlier copies by one edit that distinct lines have. firsts: (h1, h2, size, place, n, halves)."""
     spark = lines.sparkSession
-    long = firsts.where(F.col("size") >= NEAR_CHARS)
+    long = firsts.where(F.col("size") >= near_chars)
     keyed = long.select("h1", "h2", F.explode("halves").alias("key"))
     shared = keyed.groupBy("key").agg(F.min(F.struct("h1", "h2")).alias("a"), F.max(F.struct("h1", "h2")).alias("b")).where("a <> b").select("key")
     alive = cut(keyed.join(shared, "key", "left_semi").select("h1", "h2").distinct())
-    texts = lines.where(F.length("line") >= NEAR_CHARS).select("line", F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"))
-    # the lines come back from the documents; their few hashes are sent to all tasks only while they are few
-    side = F.broadcast(alive) if alive.count() <= BROADCAST_LINES else alive
-    texts = texts.join(side, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"])
+    texts = lines.where(F.length("line") >= near_chars).select("line", F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"))
+    # the lines come back from the documents
+    bits = lambda c: F.pmod(F.col(c), F.lit(1 << PRESENT_BITS)).cast("int").alias("bits")
+    present = F.broadcast(alive.select(bits("h1")).distinct())  # 2**PRESENT_BITS rows at most
+    texts = texts.withColumn("bits", bits("h1")).join(present, "bits", "left_semi").drop("bits")
+    texts = texts.dropDuplicates(["h1", "h2"]).join(alive, ["h1", "h2"], "left_semi")
 
     def variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
@@ -100,30 +115,30 @@ def near_pairs(lines: DataFrame, firsts: DataFrame) -> DataFrame:
     return verified.select(late.alias("x"), F.least("pa", "pb").alias("place")).groupBy("x").agg(F.min("place").alias("place")).select("x.h1", "x.h2", "place")
 
 
-def removals(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, gone): numbers of the lines that go from each row that loses some."""
+def removals(docs: DataFrame, near_chars: int = NEAR_CHARS) -> DataFrame:
+    """(no_id, id, row, gone): numbers of the lines that go from each row that loses some."""
     lines = lines_of(docs)
-    place = F.struct("no_id", "doc_id", "row", "line_no")
-    hashed = lines.select(F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), place.alias("place"), F.length("line").alias("size"), F.when(F.length("line") >= NEAR_CHARS, half_keys(F.col("line"))).alias("halves"))
+    place = F.struct("no_id", "id", "row", "line_no")
+    hashed = lines.select(F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), place.alias("place"), F.length("line").alias("size"), F.when(F.length("line") >= near_chars, half_keys(F.col("line"))).alias("halves"))
     firsts = cut(hashed.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("halves").alias("halves")))
-    near = near_pairs(lines, firsts).select("h1", "h2", F.lit(True).alias("near"))
+    near = near_pairs(lines, firsts, near_chars).select("h1", "h2", F.lit(True).alias("near"))
     judged = firsts.select("h1", "h2", "n", F.col("place").alias("first")).join(near, ["h1", "h2"], "left").where("n > 1 or near")
     hit = hashed.select("h1", "h2", "place").join(judged, ["h1", "h2"]).where("near or place <> first")
-    return hit.groupBy("place.row").agg(F.array_distinct(F.collect_list("place.line_no")).alias("gone"))
+    return hit.groupBy("place.no_id", "place.id", "place.row").agg(F.array_distinct(F.collect_list("place.line_no")).alias("gone"))
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, near_chars: int = NEAR_CHARS) -> DataFrame:
     """docs with the lines that go cut from their texts, and rows of which no line is left dropped."""
-    gone, row = MARK + "gone", MARK + "row"
-    found = removals(docs).select(F.col("row").alias(row), F.col("gone").alias(gone))
-    marked = docs.withColumn(row, row_key("doc_id", "text"))
-    joined = marked.join(found, row, "left")
+    gone, keys = MARK + "gone", [MARK + "no_id", MARK + "id", MARK + "row"]
+    found = removals(docs, near_chars).toDF(*keys, gone)
+    marked = docs.select("*", *[c.alias(k) for c, k in zip(place_of(), keys)])
+    joined = marked.join(found, keys, "left")
     kept = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains(F.col(gone), i))
     text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     out = joined.withColumn("text", text).where(F.col(gone).isNull() | F.col("text").rlike("\\S"))
-    repeated = cut(marked.where(F.col("text").rlike("\\S")).groupBy(row).count().where("count > 1").select(row))
+    repeated = cut(marked.where(F.col("text").rlike("\\S")).groupBy(*keys).count().where("count > 1").select(*keys))
     if not repeated.isEmpty():  # equal rows have equal places in the order: one of each stays
-        out = out.join(repeated, row, "left_anti").unionByName(out.join(repeated, row, "left_semi").dropDuplicates([row]))
+        out = out.join(repeated, keys, "left_anti").unionByName(one_of_each(out.join(repeated, keys, "left_semi"), keys))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
@@ -135,8 +150,6 @@ f AS (SELECT line, min((doc_id, i)) AS place, length(line) AS n FROM l WHERE lin
 near AS (
   SELECT DISTINCT b.line FROM f a JOIN f b ON a.n BETWEEN b.n - 1 AND b.n + 1 AND a.place < b.place
     AND a.n >= {NEAR_CHARS} AND b.n >= {NEAR_CHARS}
-    AND (left(a.line, greatest(a.n, b.n) // 2) = left(b.line, greatest(a.n, b.n) // 2)
-      OR right(a.line, greatest(a.n, b.n) - greatest(a.n, b.n) // 2) = right(b.line, greatest(a.n, b.n) - greatest(a.n, b.n) // 2))
   WHERE levenshtein(a.line, b.line) <= 1),
 g AS (
   SELECT l.doc_id, l.i, l.raw, (l.line <> '' AND ((l.doc_id, l.i) <> f.place OR near.line IS NOT NULL)) AS gone

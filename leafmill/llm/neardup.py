@@ -7,17 +7,19 @@ minima are only used in the same pass, for band keys and for a hash that tells t
 minima alike. Candidates are the texts that share a band key; their similarity is the
 collision-corrected share of equal packed values, counted by xor and bit counts:
 (p - 2**-b) / (1 - 2**-b). At and above threshold less SLACK (about one standard error) they
-are near copies. Within a bucket of any size each text is compared until it has a partner's
-group, which keeps the same groups as all pairs and gives a spanning tree; groups are the
-connected components over all buckets.
+are near copies. Within a bucket each text is compared until it has a partner's group, which
+keeps the same groups as all pairs and gives a spanning tree; groups are the connected components
+over all buckets. A bucket of more than BLOCK texts is split into blocks of about BLOCK, and each
+pair of its blocks is a bucket of its own: the same texts are compared, spread over many tasks.
 
 With 32 bands of 4 rows a pair at similarity 0.6 shares a band with probability 0.988, at 0.7
 with 0.9998.
 
 Cases: a text without words (null, empty, punctuation) is nobody's copy; one of fewer than
 SHINGLE words has one shingle, all of it. Of each group the row with the least doc_id stays
-(null last; of one doc_id's different texts, the least text hash). Repeated rows are one row
-of the group: one of them stays. Other columns are kept as they are.
+(null last; of one doc_id's different texts, the least text hash). Rows equal in doc_id and text,
+whatever their other columns hold, are one row of the group: of them that of least hash over all
+columns stays. Rows and texts are known by hashes of 128 bits. Other columns are kept as they are.
 """
 
 from __future__ import annotations
@@ -30,11 +32,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import cut, pieces, row_key
+from leafmill.llm.common import cut, one_of_each, pieces, row_key
 from leafmill.llm.components import components
 from leafmill.llm.tokens import Powers, Words, alphanumeric, buffer_of, byte_values, gram_hashes, mix
 
-SHINGLE, PERMUTATIONS, BITS, BANDS, THRESHOLD, SLACK = 3, 128, 4, 32, 0.6, 0.05
+SHINGLE, PERMUTATIONS, BITS, BANDS, THRESHOLD, SLACK, BLOCK = 3, 128, 4, 32, 0.6, 0.05, 8192
 
 
 def coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,6 +118,12 @@ def spanning(signatures: np.ndarray, most: float) -> list[tuple[int, int]]:
         queue, left = [int(left[0])], left[1:]
 
 
+def binary_rows(rows: np.ndarray) -> pa.Array:
+    """Each row's bytes."""
+    flat = np.ascontiguousarray(rows).view(np.uint8).reshape(len(rows), -1)
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(flat.shape[1]), len(flat), [None, pa.py_buffer(flat.tobytes())]).cast(pa.binary())
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, row, full, packed, bands) of each text that has words."""
 
@@ -132,21 +140,21 @@ def signatures(docs: DataFrame) -> DataFrame:
                 keys = np.full((len(has), BANDS), 7, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)
                 for r in range(rows):
                     keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + wide[:, :, r] + np.uint64(1))
-                full = mix((keys * mix(np.arange(1, BANDS + 1, dtype=np.uint64))).sum(axis=1, dtype=np.uint64))
+                full = np.stack([mix((keys * mix(np.arange(a, a + BANDS, dtype=np.uint64))).sum(axis=1, dtype=np.uint64)) for a in (1, 1001)], axis=1)
             bits = packed(mins)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id").take(pa.array(has)),
                     part.column("row").take(pa.array(has)),
-                    pa.array(full.view(np.int64)),
-                    pa.FixedSizeBinaryArray.from_buffers(pa.binary(bits.shape[1]), len(bits), [None, pa.py_buffer(bits.tobytes())]).cast(pa.binary()),
+                    binary_rows(full),
+                    binary_rows(bits),
                     pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32()), pa.array(keys.reshape(-1).view(np.int64))),
                 ],
                 names=["doc_id", "row", "full", "packed", "bands"],
             )
 
     own = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), row_key("doc_id", "text").alias("row"))
-    return own.mapInArrow(run, "doc_id bigint, row bigint, full bigint, packed binary, bands array<bigint>")
+    return own.mapInArrow(run, "doc_id bigint, row binary, full binary, packed binary, bands array<bigint>")
 
 
 def bucket_edges(threshold: float, slack: float):
@@ -157,25 +165,18 @@ def bucket_edges(threshold: float, slack: float):
         held = None
 
         def edges(t: pa.Table) -> pa.RecordBatch:
-            keys = t.column("key").to_numpy()
-            nodes = t.column("full").to_numpy()
-            flat = t.column("packed").combine_chunks().cast(pa.large_binary())
-            sig = np.frombuffer(flat.buffers()[2], dtype=np.uint64)
-            width = len(sig) // max(1, len(t)) if flat.offset == 0 else 0
-            if not width:
-                sig = np.frombuffer(b"".join(flat.to_pylist()), dtype=np.uint64)
-                width = len(sig) // len(t)
-            sig = sig.reshape(-1, width)
+            keys, nodes = t.column("key").to_numpy(), t.column("full").combine_chunks()
+            sig = np.frombuffer(b"".join(t.column("packed").to_pylist()), dtype=np.uint64).reshape(len(t), -1)
             start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
             size = np.diff(np.concatenate([start, [len(keys)]]))
             two = start[size == 2]
             two = two[differing(sig[two], sig[two + 1]) <= most]
-            a, b = [nodes[two]], [nodes[two + 1]]
+            a, b = [two], [two + 1]
             for s, n in zip(start[size > 2], size[size > 2]):
                 pairs = np.array(spanning(sig[s : s + n], most), dtype=np.int64).reshape(-1, 2)
-                a.append(nodes[s + pairs[:, 0]])
-                b.append(nodes[s + pairs[:, 1]])
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+                a.append(s + pairs[:, 0])
+                b.append(s + pairs[:, 1])
+            return pa.RecordBatch.from_arrays([nodes.take(pa.array(np.concatenate(x))) for x in (a, b)], names=["a", "b"])
 
         for batch in batches:
             t = pa.Table.from_batches([batch])
@@ -200,9 +201,12 @@ def copies(docs: DataFrame, threshold: float = THRESHOLD, slack: float = SLACK)
     contents = sigs.groupBy("full").agg(F.count("*").alias("n"), first, F.first("packed").alias("packed"), F.first("bands").alias("bands"))
     # band keys travel without signatures; only texts that share one are joined with theirs
     keyed = contents.select("full", F.explode("bands").alias("key"))
-    alive = keyed.withColumn("m", F.count("*").over(Window.partitionBy("key"))).where("m > 1").select("full", "key")
-    buckets = alive.join(contents.select("full", "packed"), "full").repartition("key").sortWithinPartitions("key", "full")
-    labels = components(buckets.mapInArrow(bucket_edges(threshold, slack), "a bigint, b bigint"))
+    alive = keyed.withColumn("m", F.count("*").over(Window.partitionBy("key"))).where("m > 1").withColumn("n", F.ceil(F.col("m") / BLOCK).cast("int"))
+    own, other = F.pmod(F.hash("full"), F.col("n")), F.explode(F.sequence(F.lit(0), F.col("n") - 1))
+    split = alive.select("full", "key", "n", own.alias("own"), other.alias("other"))
+    split = split.select("full", F.when(F.col("n") == 1, F.col("key")).otherwise(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))).alias("key"))
+    buckets = split.join(contents.select("full", "packed"), "full").select("key", "full", "packed").repartition("key").sortWithinPartitions("key", "full")
+    labels = components(buckets.mapInArrow(bucket_edges(threshold, slack), "a binary, b binary"))
     shared = sigs.groupBy("full").agg(F.count("*").alias("n"), first).join(labels, F.col("full") == F.col("node"), "left").where("n > 1 or root is not null").select("full", "first", F.coalesce("root", "full").alias("root"))
     kept = shared.groupBy("root").agg(F.min("first").alias("kept"))
     rows = (
@@ -229,5 +233,5 @@ def without_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, slack
     left = marked.join(rows.select(F.col("row").alias("__leafmill_row")).distinct(), "__leafmill_row", "left_anti")
     if not repeated.isEmpty():
         again = repeated.select(F.col("row").alias("__leafmill_row"))
-        left = left.join(again, "__leafmill_row", "left_anti").unionByName(left.join(again, "__leafmill_row", "left_semi").dropDuplicates(["__leafmill_row"]))
+        left = left.join(again, "__leafmill_row", "left_anti").unionByName(one_of_each(left.join(again, "__leafmill_row", "left_semi"), ["__leafmill_row"]))
     return left.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -2,7 +2,7 @@
 
 import random
 
-from leafmill.llm import contamination, increments, pii, urls
+from leafmill.llm import contamination, increments, linededup, mixing, neardup, pii, urls
 
 RNG = random.Random(29)
 VOCABULARY = ["".join(RNG.choices("abcdefghijklmnop", k=RNG.randint(2, 8))) for _ in range(3000)]
@@ -49,7 +49,7 @@ def test_decontaminated_in_several_passes(spark):
     df, benchmark = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
     one = sorted(map(repr, contamination.decontaminated(df, benchmark).collect()))
     several = contamination.decontaminated(df, benchmark, limit=120)
-    assert len(contamination.benchmark_blocks(benchmark, 8, 4, 120)) > 2
+    assert len(contamination.blocks_of(benchmark, 8, 4, 120)) > 2
     assert several.columns == df.columns and sorted(map(repr, several.collect())) == one
 
 
@@ -69,3 +69,70 @@ def test_cues_in_any_case():
     for before in ("", "İ İstanbul "):
         for text, kind, value in (("Customer ID: 48291734", "account", "48291734"), ("Member ID 7734519", "account", "7734519"), ("Tax ID 982736451", "account", "982736451"), ("Api_Key = abcd1234efgh", "secret", "abcd1234efgh"), ("PassWord: hunter2hunter2", "secret", "hunter2hunter2")):
             assert [(k, (before + text)[x:y]) for x, y, k in pii.finds(before + text, a)] == [(kind, value)], text
+
+
+def test_no_row_is_lost_when_other_columns_differ(spark):
+    rows = [(1, "abc def", "a", "en"), (1, "abc def", "a", "de"), (1, "abc def", "a", "de"), (2, "xyz", "b", "en"), (3, "", "c", "en"), (4, None, "c", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    got = [(r.doc_id, r.text, r.source, r.lang) for r in mixing.mixed(docs, {"a": 7.0, "b": 1.0}).collect()]
+    assert set(rows) == set(got) and got.count(rows[0]) in (1, 2) and got.count(rows[4]) == got.count(rows[5]) == 1
+    for run in (linededup.deduplicated, neardup.without_near_duplicates):
+        kept = [tuple(r) for r in run(docs).collect()]
+        again = [tuple(r) for r in run(docs.repartition(3).orderBy("lang")).collect()]
+        assert sorted(map(repr, kept)) == sorted(map(repr, again)) and len([r for r in kept if r[0] == 1]) == 1
+
+
+def test_hot_buckets_are_split_without_loss(spark, monkeypatch):
+    """Unlike texts and copies under one band key, whole and in blocks of four."""
+    base = babble(200)
+    texts = [" ".join(base[: 120 + i % 3] + babble(80)) for i in range(40)] + [" ".join(base + [f"x{i}"]) for i in range(25)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    whole = sorted(map(tuple, neardup.near_duplicates(docs).collect()))
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    assert len(whole) >= 24 and sorted(map(tuple, neardup.near_duplicates(docs).collect())) == whole
+
+
+def test_mixing_against_a_plain_rounding(spark, monkeypatch):
+    """The whole tree of roundings again, with lists."""
+    monkeypatch.setattr(mixing, "RUN", 2)
+    rows = [(i, "x" * (1 + i % 5), ["p", "q", "q", None][i % 4]) for i in range(157)] + [(7, "same", "q")] * 9
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    weights, seed, leaf, fan = {"p": 3.0, "q": 1.0}, 5, 10, 3
+    got = {}
+    for r in mixing.mixed(docs, weights, 1.5, seed, leaf, fan).collect():
+        got[r.doc_id, r.text, r.source] = got.get((r.doc_id, r.text, r.source), 0) + 1
+    keys = {(r.doc_id, r.text, r.source): bytes(r.k) for r in docs.withColumn("k", mixing.row_key("doc_id", "text", "source")).collect()}
+    size = {s: sum(len(t) for _, t, x in rows if x == s) for s in ("p", "q", None)}
+    total, largest = sum(size.values()) * 1.5, max(sum(x == s for _, _, x in rows) for s in size)
+    nodes_of = {(r.k, r.n, r.m): r.h for r in spark.createDataFrame([(k, n, m) for k in set(keys.values()) for n in range(1, 11) for m in range(1, 20)], "k binary, n bigint, m bigint").selectExpr("k", "n", "m", f"pmod(xxhash64(k, n, {seed}), m) h").collect()}
+    nodes_of = {(bytes(k), n, m): h for (k, n, m), h in nodes_of.items()}
+    want = {}
+    for s, weight in (("p", 0.75), ("q", 0.25), (None, 0.0)):
+        own, seen = [], {}
+        for d in rows:
+            if d[2] == s:
+                seen[d] = seen.get(d, 0) + 1
+                own.append((keys[d], seen[d], d))
+        due = weight * total / size[s]
+        for d in seen:
+            want[d] = seen[d] * int(due)
+        count = -(-len(own) // leaf)
+        now = [(nodes_of[k, n, count], k, n, d, due - int(due)) for k, n, d in own]
+        levels, step = -(-largest // leaf), 0
+        while True:
+            rest = []
+            for node in sorted({x[0] for x in now}):
+                group = sorted((x for x in now if x[0] == node), key=lambda x: (x[1], x[2]))
+                numbers = [int.from_bytes(x[1][:8], "big") ^ x[2] * 0x9E3779B97F4A7C15 & (1 << 64) - 1 for x in group]
+                decided, at, mass = mixing.pivotal([x[4] for x in group], numbers, seed + step)
+                for i, (x, up) in enumerate(zip(group, decided)):
+                    if up >= 0:
+                        want[x[3]] += up
+                    elif levels <= 1:
+                        want[x[3]] += mixing.uniform(numbers[i], seed + step, 0) < mass
+                    else:
+                        rest.append((node // fan, x[1], x[2], x[3], mass))
+            if levels <= 1:
+                break
+            now, levels, step = rest, -(-levels // fan), step + 1
+    assert got == {d: n for d, n in want.items() if n}
