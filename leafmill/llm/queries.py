@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import os
+
 import corpus_pipeline
 from leafmill.llm import contamination, fingerprints, increments, linededup, mixing, neardup, pii, suffixes, toxicity, urls
 from leafmill.llm.common import table
 
+#: Where the public tokenizers' vocabularies lie.
+TOKENIZERS = os.environ.get("LEAFMILL_TOKENIZERS", "/opt/tokenizers")
+
 QUERIES = {
     "op9_incremental_dedup": lambda spark, sf_dir: increments.incremental_spans(table(spark, sf_dir, "documents")),
-    "op8_url_filter": lambda spark, sf_dir: urls.url_filter(table(spark, sf_dir, "pages")),
+    "op8_url_filter": lambda spark, sf_dir: urls.url_filter(table(spark, sf_dir, "pages"), f"{TOKENIZERS}/word_bpe_49k.json"),
     "op6_suffix_dedup": lambda spark, sf_dir: suffixes.repeated_spans(table(spark, sf_dir, "documents")),
     "op1_pii": lambda spark, sf_dir: pii.personal_data(table(spark, sf_dir, "documents")),
     "pipeline": corpus_pipeline.run,

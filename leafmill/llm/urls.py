@@ -8,17 +8,28 @@ other than letters and each run of letters into its most probable words; a run o
 letters has probability 10**-n over the number of words; of equal cuts the one whose last word
 is longest stays.
 
-Features are the host's words (h:), its top-level label (t:) and the path's and query's tokens
-(p:), digits as their count. A page is a positive example if a word of its host is a seed; seeds
-are a parameter. Multinomial naive Bayes with Laplace smoothing counts over all pages; features
-met once share one count, whatever the size of the table. The counts stay a table too, joined
-to the pages' features. A page is blocked if its log odds exceed 0.
+A regular plural that the tokenizer lacks has a QUARTER of its singular's share of the Zipf law.
+
+A page is a positive example if a word of its host, or its singular, is a seed and none is exempt
+(as in adultliteracy or spamfilter); both lists are parameters. Features are the host's other
+words (h:), its top-level label (t:) and the path's and query's tokens (p:), digits as their
+count. The seeds themselves are no features, so the classifier learns what comes with them and not
+the list. Host and path are fields; a field of more than FIELD tokens counts as FIELD tokens in
+all, in training and scoring, so that no long path outweighs many pages. Multinomial naive Bayes
+with Laplace smoothing counts over all pages; features met once share one count, whatever the size
+of the table. The counts stay a table too, joined to the pages' features. A page's score is the
+log odds of its features, with SEED_ODDS for a positive example and the log of the classes' ratio
+for others; it is blocked if the score exceeds 0. So a seed blocks unless the rest of the URL
+speaks clearly against it, and other pages are blocked by what comes with seeds elsewhere.
 
 Cases: a null or empty URL, or one without a host, has no words and its path's features only; it
-is scored, and blocked only by features (a page without any feature never is). Without a
-positive or without a negative page nothing is blocked. Repeated rows are counted and scored
-each. A null page_id stays null. Hosts are read in lower case without user info and port;
-characters beyond ASCII part the words. Null html counts as empty. Other columns are ignored.
+is scored, and blocked only by features (a page without any feature and seed never is). Without a
+positive or without a negative page there is nothing to learn: scores are 0 and the positive pages
+alone are blocked. Repeated rows are counted and scored each. A null page_id stays null. Hosts are
+read in lower case without user info and port; characters beyond ASCII part the words. Words of
+more than LONGEST letters, which no label of a host may have, aren't looked for in hosts. Null html
+counts as empty; scripts and styles, over any number of lines, are no visible text. Other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -26,6 +37,7 @@ from __future__ import annotations
 import json
 import math
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -34,9 +46,9 @@ from pyspark.sql import functions as F
 
 from leafmill.llm.common import cut
 
-VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 SEEDS = ("adult", "ads", "bets", "betting", "casino", "escort", "gambling", "jackpot", "malware", "phishing", "pills", "poker", "porn", "sex", "spam", "viagra", "warez", "xxx")
-LONGEST, ALPHA = 24, 1.0
+EXEMPT = ("blocker", "care", "detector", "education", "filter", "health", "help", "learning", "literacy", "prevention", "protection", "recovery", "removal", "research", "school", "security")
+LONGEST, ALPHA, FIELD, SEED_ODDS, QUARTER, UNIT = 63, 1.0, 8, 3.0, 0.25, 1 << 16
 PARTS = re.compile(r"\s*(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?//([^/?#\\\s]*)([^#\s]*)")
 LETTERS, TOKENS = re.compile("[a-z]+"), re.compile("[a-z]+|[0-9]+")
 
@@ -85,18 +97,20 @@ def zipf(path: str) -> dict[str, float]:
         ranked = sorted(json.load(f)["model"]["vocab"].items(), key=lambda x: x[1])
     words = [w[:-4] for w, _ in ranked if w.endswith("</w>")]
     words = [w for w in words if LETTERS.fullmatch(w) and len(w) > 1]
-    total = sum(1 / (i + 2.7) for i in range(len(words)))
-    return {w: 1 / (i + 2.7) / total for i, w in enumerate(words)}
+    weight = {w: 1 / (i + 2.7) for i, w in enumerate(words)}
+    weight |= {w + "s": QUARTER * x for w, x in weight.items() if len(w) > 2 and w[-1] != "s" and w + "s" not in weight}
+    total = sum(weight.values())
+    return {w: x / total for w, x in weight.items()}
 
 
 def word_counts(pages: DataFrame) -> DataFrame:
     """(word, count) of all words of all pages' text."""
-    text = F.regexp_replace(F.lower("html"), r"<script.*?</script>|<style.*?</style>|<[^>]*>|&\w+;", " ")
-    words = pages.select(F.explode(F.split(text, "[^a-z]+")).alias("word")).where(f"length(word) between 2 and {LONGEST}")
+    text = F.regexp_replace(F.lower("html"), r"(?s)<script.*?</script>|<style.*?</style>|<[^>]*>|&\w+;", " ")
+    words = pages.select(F.explode(F.split(text, "[^a-z]+")).alias("word")).where("length(word) >= 2")
     return cut(words.groupBy("word").count())
 
 
-def unigram(pages: DataFrame, vocabulary: str = VOCABULARY) -> Unigram:
+def unigram(pages: DataFrame, vocabulary: str) -> Unigram:
     """The whole model in one place, for small tables."""
     counts, prior = {r["word"]: r["count"] for r in word_counts(pages).collect()}, zipf(vocabulary)
     total = sum(counts.values())
@@ -108,11 +122,26 @@ def host_words(host: str, model: Unigram) -> list[str]:
     return [w for label in host.split(".")[:-1] for run in LETTERS.findall(label) for w in model.segment(run)]
 
 
-def features(host: str, words: list[str], rest: str) -> list[str]:
-    own = ["h:" + w for w in words]
+def is_seed(word: str, seeds: frozenset[str]) -> bool:
+    return word in seeds or (word[-1:] == "s" and word[:-1] in seeds)
+
+
+def is_positive(words: list[str], seeds: frozenset[str], exempt: frozenset[str]) -> bool:
+    return any(is_seed(w, seeds) for w in words) and exempt.isdisjoint(words)
+
+
+def features(host: str, words: list[str], rest: str, seeds: frozenset[str] = frozenset(SEEDS)) -> list[str]:
+    own = ["h:" + w for w in words if not is_seed(w, seeds)]
     if host:
         own.append("t:" + host.rpartition(".")[2])
-    return own + ["p:" + (f"#{len(t)}" if t[0].isdigit() else t) for t in TOKENS.findall(rest)]
+    return own + ["p:" + (f"#{len(t)}" if t[0].isdigit() else t) for t in TOKENS.findall(rest) if not is_seed(t, seeds)]
+
+
+def weights(own: list[str]) -> dict[str, int]:
+    """Each feature's weight in units of 1 / UNIT of a token: its count, less where the field has more than FIELD tokens."""
+    counts = Counter(own)
+    long = Counter(f[0] == "p" for f in own)
+    return {f: UNIT * n if (m := long[f[0] == "p"]) <= FIELD else round(UNIT * n * FIELD / m) for f, n in counts.items()}
 
 
 def parsed(pages: DataFrame) -> DataFrame:
@@ -139,7 +168,7 @@ def substrings(hosts: DataFrame) -> DataFrame:
     return hosts.mapInArrow(run, "host string, word string")
 
 
-def host_table(hosts: DataFrame, counts: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+def host_table(hosts: DataFrame, counts: DataFrame, vocabulary: str) -> DataFrame:
     """(host, words) of each distinct host."""
     prior = zipf(vocabulary)
     total = counts.agg(F.sum("count")).first()[0] or 0
@@ -164,55 +193,59 @@ def host_table(hosts: DataFrame, counts: DataFrame, vocabulary: str = VOCABULARY
     return hosts.join(met, "host", "left").select("host", "met").mapInArrow(run, "host string, words array<string>")
 
 
-def segmented(pages: DataFrame, vocabulary: str = VOCABULARY, seeds: tuple[str, ...] = SEEDS) -> DataFrame:
-    """(page_id, host, words, features, positive) of each page."""
+WEIGHED = "array<struct<feature:string,w:bigint>>"
+
+
+def segmented(pages: DataFrame, vocabulary: str, seeds: tuple[str, ...] = SEEDS, exempt: tuple[str, ...] = EXEMPT) -> DataFrame:
+    """(page_id, host, words, features, positive) of each page; features with their weights."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bad = frozenset(seeds)
+        bad, good, kind = frozenset(seeds), frozenset(exempt), pa.list_(pa.struct([("feature", pa.string()), ("w", pa.int64())]))
         for batch in batches:
             hosts, rests, words = (batch.column(c).to_pylist() for c in ("host", "rest", "words"))
-            own = [features(h, w, r) for h, w, r in zip(hosts, words, rests)]
-            positive = [not bad.isdisjoint(w) for w in words]
+            own = [[{"feature": f, "w": x} for f, x in weights(features(h, w, r, bad)).items()] for h, w, r in zip(hosts, words, rests)]
+            positive = [is_positive(w, bad, good) for w in words]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("host"), batch.column("words"), pa.array(own, pa.list_(pa.string())), pa.array(positive, pa.bool_())],
+                [batch.column("page_id"), batch.column("host"), batch.column("words"), pa.array(own, kind), pa.array(positive, pa.bool_())],
                 names=["page_id", "host", "words", "features", "positive"],
             )
 
     own = cut(parsed(pages))
     known = host_table(own.select("host").distinct(), word_counts(pages), vocabulary)
-    return own.join(known, "host").select("page_id", "host", "rest", "words").mapInArrow(run, "page_id bigint, host string, words array<string>, features array<string>, positive boolean")
+    return own.join(known, "host").select("page_id", "host", "rest", "words").mapInArrow(run, f"page_id bigint, host string, words array<string>, features {WEIGHED}, positive boolean")
 
 
 def bayes(found: DataFrame, alpha: float = ALPHA) -> tuple[float, DataFrame, Callable, tuple[int, int]] | None:
-    """Prior log odds, the counts of the features met more than once, the log odds of two counts, and the others' counts; None where there are no two classes."""
+    """Prior log odds, the weights of the features met more than once, the log odds of two weights, and the others' weights; None where there are no two classes."""
     classes = {r["positive"]: r["count"] for r in found.groupBy("positive").count().collect()}
     if not classes.get(True) or not classes.get(False):
         return None
-    counts = cut(found.select(F.explode("features").alias("feature"), "positive").groupBy("feature").agg(F.count_if("positive").alias("high"), F.count_if(~F.col("positive")).alias("low")))
-    once = F.col("high") + F.col("low") < 2
+    each = found.select(F.explode("features").alias("f"), "positive").select("f.feature", "f.w", "positive")
+    counts = cut(each.groupBy("feature").agg(F.count("*").alias("pages"), F.max("w").alias("most"), F.sum(F.when(F.col("positive"), F.col("w")).otherwise(0)).alias("high"), F.sum(F.when(F.col("positive"), 0).otherwise(F.col("w"))).alias("low")))
+    once = (F.col("pages") == 1) & (F.col("most") <= UNIT)
     t = counts.agg(F.sum("high"), F.sum("low"), F.count_if(~once), F.sum(F.when(once, F.col("high"))), F.sum(F.when(once, F.col("low")))).first()
-    high, low, size = t[0] or 0, t[1] or 0, t[2] + 1
-    odds = lambda a, b: math.log((a + alpha) / (high + alpha * size)) - math.log((b + alpha) / (low + alpha * size))
-    return math.log(classes[True]) - math.log(classes[False]), counts.where(~once), odds, (t[3] or 0, t[4] or 0)
+    high, low, size = (t[0] or 0) / UNIT, (t[1] or 0) / UNIT, t[2] + 1
+    odds = lambda a, b: math.log((a / UNIT + alpha) / (high + alpha * size)) - math.log((b / UNIT + alpha) / (low + alpha * size))
+    return math.log(classes[True]) - math.log(classes[False]), counts.where(~once).select("feature", "high", "low"), odds, (t[3] or 0, t[4] or 0)
 
 
-def url_filter(pages: DataFrame, vocabulary: str = VOCABULARY, seeds: tuple[str, ...] = SEEDS) -> DataFrame:
+def url_filter(pages: DataFrame, vocabulary: str, seeds: tuple[str, ...] = SEEDS, exempt: tuple[str, ...] = EXEMPT) -> DataFrame:
     """(page_id, host, words, score, blocked) of every page; words are the host's, joined by spaces, score the log odds."""
-    found = cut(segmented(pages, vocabulary, seeds).withColumn("at", F.monotonically_increasing_id()))
+    found = cut(segmented(pages, vocabulary, seeds, exempt).withColumn("at", F.monotonically_increasing_id()))
     model = bayes(found)
-    own = found.select("at", "page_id", "host", F.array_join("words", " ").alias("words"))
+    own = found.select("at", "page_id", "host", F.array_join("words", " ").alias("words"), "positive")
     if model is None:
-        return own.select("page_id", "host", "words", F.lit(0.0).alias("score"), F.lit(False).alias("blocked"))
+        return own.select("page_id", "host", "words", F.lit(0.0).alias("score"), F.col("positive").alias("blocked"))
     prior, counts, odds, rare = model
-    each = found.select("at", F.explode("features").alias("feature")).groupBy("at", "feature").agg(F.count("*").alias("n"))
-    weighed = each.join(counts, "feature", "left").groupBy("at").agg(F.collect_list(F.struct("high", "low", "n")).alias("met"))
+    each = found.select("at", F.explode("features").alias("f")).select("at", "f.feature", "f.w")
+    weighed = each.join(counts, "feature", "left").groupBy("at").agg(F.collect_list(F.struct("high", "low", "w")).alias("met"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         other = odds(*rare)
         for batch in batches:
-            lists = batch.column("met").to_pylist()
-            scores = [round(math.fsum([prior, *(w for x in met or () for w in [other if x["high"] is None else odds(x["high"], x["low"])] * x["n"])]), 6) for met in lists]
-            blocked = [bool(met and s > 0) for s, met in zip(scores, lists)]
+            lists, positive = batch.column("met").to_pylist(), batch.column("positive").to_pylist()
+            scores = [round(math.fsum([SEED_ODDS if bad else prior, *((other if x["high"] is None else odds(x["high"], x["low"])) * x["w"] / UNIT for x in met or ())]), 6) for met, bad in zip(lists, positive)]
+            blocked = [bool((met or bad) and s > 0) for s, met, bad in zip(scores, lists, positive)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "host", "words")), pa.array(scores, pa.float64()), pa.array(blocked, pa.bool_())], names=["page_id", "host", "words", "score", "blocked"])
 
-    return own.join(weighed, "at", "left").select("page_id", "host", "words", "met").mapInArrow(run, "page_id bigint, host string, words string, score double, blocked boolean")
+    return own.join(weighed, "at", "left").select("page_id", "host", "words", "positive", "met").mapInArrow(run, "page_id bigint, host string, words string, score double, blocked boolean")

@@ -13,6 +13,7 @@ import corpus_pipeline
 from leafmill.llm import components, contamination, fingerprints, increments, linededup, mixing, neardup, pii, queries, suffixes, toxicity, urls
 
 RNG = random.Random(11)
+VOCABULARY_FILE = f"{queries.TOKENIZERS}/word_bpe_49k.json"
 VOCABULARY = ["".join(RNG.choices("abcdefghijklmnop", k=RNG.randint(2, 8))) for _ in range(3000)]
 
 
@@ -268,8 +269,8 @@ def test_naive_bayes_against_counts(spark):
     pages = [(i, f"http://{'casinowin' if i % 4 == 0 else 'goodnews'}{i % 3}.example.com/{'bonus' if i % 4 == 0 else 'story'}/{i}", "good news casino win") for i in range(80)]
     pages += [(900, "http://unseen.example.com/bonus/1", None)]
     df = spark.createDataFrame(pages, "page_id bigint, url string, html string")
-    got = {r.page_id: r for r in urls.url_filter(df).collect()}
-    model = urls.unigram(df)
+    got = {r.page_id: r for r in urls.url_filter(df, VOCABULARY_FILE).collect()}
+    model = urls.unigram(df, VOCABULARY_FILE)
     rows = [(u, urls.split_url(u)) for _, u, _ in pages]
     made = [(urls.features(h, urls.host_words(h, model), rest), "casino" in urls.host_words(h, model)) for _, (h, rest) in rows]
     counts = {}
@@ -281,7 +282,7 @@ def test_naive_bayes_against_counts(spark):
     rare = [sum(c[i] for f, c in counts.items() if f not in often) for i in (0, 1)]
     size, n = len(often) + 1, sum(p for _, p in made)
     for (pid, _, _), (own, _) in zip(pages, made):
-        score = math.log(n / (len(made) - n)) + sum(math.log((c[1] + 1) / (high + size)) - math.log((c[0] + 1) / (low + size)) for c in (often.get(f, rare) for f in own))
+        score = (urls.SEED_ODDS if "casino" in urls.host_words(urls.split_url(pages[[p[0] for p in pages].index(pid)][1])[0], model) else math.log(n / (len(made) - n))) + sum(math.log((c[1] + 1) / (high + size)) - math.log((c[0] + 1) / (low + size)) for c in (often.get(f, rare) for f in own))
         assert got[pid].score == pytest.approx(score, abs=1e-5)
     assert all(got[i].blocked == (i % 4 == 0) for i in range(80))
 

@@ -2,9 +2,10 @@
 
 import random
 
-from leafmill.llm import contamination, increments, linededup, mixing, neardup, pii, urls
+from leafmill.llm import contamination, increments, linededup, mixing, neardup, pii, queries, urls
 
 RNG = random.Random(29)
+VOCABULARY_FILE = f"{queries.TOKENIZERS}/word_bpe_49k.json"
 VOCABULARY = ["".join(RNG.choices("abcdefghijklmnop", k=RNG.randint(2, 8))) for _ in range(3000)]
 
 
@@ -58,9 +59,9 @@ def test_rare_words_count_whatever_the_size(spark):
     rare = [(1, "http://zorblaxquim.example.com/hapax/1", "zorblax quim"), (2, "http://casinowin.example.com/hapax/2", "zorblax quim casino win")]
     few = [*rare, *((i, f"http://goodnews.example.com/story/{i}", "good news casino win") for i in range(3, 9))]
     many = [*few, (99, "http://goodnews.example.org/story/99", "good news " * 1_500_000)]
-    got = {r.page_id: r for r in urls.url_filter(spark.createDataFrame(many, "page_id bigint, url string, html string")).collect()}
+    got = {r.page_id: r for r in urls.url_filter(spark.createDataFrame(many, "page_id bigint, url string, html string"), VOCABULARY_FILE).collect()}
     assert got[1].words == "zorblax quim example"
-    model = urls.unigram(spark.createDataFrame(few, "page_id bigint, url string, html string"))
+    model = urls.unigram(spark.createDataFrame(few, "page_id bigint, url string, html string"), VOCABULARY_FILE)
     assert urls.host_words("zorblaxquim.example.com", model) == got[1].words.split()
 
 
