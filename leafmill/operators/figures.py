@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from leafmill import schemas
 from leafmill.config import DEFAULT, Config
-from leafmill.functions.geometry import near, overlap_ratio
+from leafmill.functions.geometry import bbox, near, overlap_ratio
 from leafmill.functions.text import all_of, figure_chunk_id, figure_text, first_of, position_group, strip
+from leafmill.operators import layout
 
 PAGE = ["doc_id", "page"]
 
@@ -54,6 +55,19 @@ def qualified(figures: DataFrame, config: Config = DEFAULT) -> DataFrame:
     return done.withColumn("status", F.when(F.col("rejection_reason").isNull(), "candidate").otherwise("rejected")).withColumn("routing_signals", F.when(F.col("rejection_reason").isNull(), signals).otherwise(F.array().cast("array<string>")))
 
 
+def qualified_layout(raw: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """The figures of a layout result with features, status, reason and signals; those without a usable box or page size aren't among them."""
+    boxes = layout.bounding_boxes(raw)
+    own = layout.page_sizes(layout.figures(raw).withColumn("box", bbox(F.col("polygon"))), layout.pages(raw))
+    return qualified(with_features(with_references(furniture_overlap(own, layout.furniture(boxes, config)), layout.page_paragraphs(boxes), config)), config)
+
+
+def outcome_counts(records: DataFrame, keys: list[str], field: str) -> DataFrame:
+    """(keys..., counts): how many records of each value of field, as a map."""
+    each = records.where(F.col(field).isNotNull()).groupBy(*keys, field).agg(F.count("*").alias("n"))
+    return each.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(field, "n")))).alias("counts"))
+
+
 def first_per_document(candidates: DataFrame, most: int, order: list[str]) -> DataFrame:
     """The first figures of each document, as many as the vision budget allows."""
     w = Window.partitionBy("doc_id").orderBy(*order)

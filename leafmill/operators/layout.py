@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leafmill.config import DEFAULT, Config
-from leafmill.functions.geometry import overlaps, xs, ys
+from leafmill.functions.geometry import bbox, overlaps, xs, ys
 from leafmill.functions.text import all_of, formatted, snake, strip
 
 BUCKET = 512
@@ -95,6 +95,22 @@ def figures(layout: DataFrame) -> DataFrame:
     return flat.select("doc_id", "figure_index", "figure_id", "caption", "nth", r["page_number"].alias("page"), r["polygon"].alias("polygon")).withColumn("k", F.row_number().over(w)).where("k = 1").drop("k", "nth")
 
 
+def page_sizes(figure_rows: DataFrame, page_rows: DataFrame) -> DataFrame:
+    """figure_rows with page_width and page_height of the page's first entry, 0 where the layout has none."""
+    sizes = page_rows.groupBy("doc_id", "page").agg(F.first("width").alias("page_width"), F.first("height").alias("page_height"))
+    return figure_rows.join(sizes, ["doc_id", "page"], "left").withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("page_width", "page_height")})
+
+
+def furniture(boxes: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """(doc_id, page, box) of the regions of headers, footers and page numbers. boxes: bounding_boxes()."""
+    return boxes.where(F.col("role").isin(*config.noise_roles)).select("doc_id", "page", bbox(F.col("polygon")).alias("box")).where("box is not null")
+
+
+def page_paragraphs(boxes: DataFrame) -> DataFrame:
+    """(doc_id, page, box, content): where each paragraph stands and its lower-cased text."""
+    return boxes.select("doc_id", "page", bbox(F.col("polygon")).alias("box"), F.lower(F.coalesce("content", F.lit(""))).alias("content")).where("box is not null")
+
+
 def contained(spans: DataFrame, word_rows: DataFrame) -> DataFrame:
     """spans (doc_id, key..., start, stop) with each word inside, by a bucket of the word's offset; spans without words stay, with nulls.
 

@@ -1,4 +1,4 @@
-"""Retrieval over chunks: exact cosine, BM25, fusion, quantization, context and history."""
+"""Retrieval over chunks: exact and approximate cosine, BM25, fusion, quantization, context and history."""
 
 from __future__ import annotations
 
@@ -6,65 +6,200 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.functions.text import base_name
 
-BLOCK = 2048
+BLOCK, QUERIES, DOCS = 2048, 2048, 1024
 
 
 def _blocks(df: DataFrame, prefix: str, id_col: str, vector: str, block: int) -> DataFrame:
     n = max(1, -(-df.count() // block))
     own = df.where(f"`{vector}` is not null").select(F.col(id_col).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.pmod(F.xxhash64(id_col), F.lit(n)).alias("b"))
-    return own.groupBy("b").agg(F.collect_list("id").alias(f"{prefix}_ids"), F.flatten(F.collect_list("v")).alias(f"{prefix}_values")).drop("b")
+    return own.repartition(min(n, 512), "b").groupBy("b").agg(F.collect_list("id").alias(f"{prefix}_ids"), F.flatten(F.collect_list("v")).alias(f"{prefix}_values")).drop("b")
+
+
+def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column numbers of the k highest scores of each row, ties by id; -inf is never among them."""
+    n = scores.shape[1]
+    least = np.partition(scores, n - k, axis=1)[:, n - k, None] if k < n else np.full((len(scores), 1), -np.inf)
+    row, col = np.nonzero((scores >= least) & (scores > -np.inf))
+    order = np.lexsort((ids[col], -scores[row, col], row))
+    row, col = row[order], col[order]
+    first = np.searchsorted(row, np.arange(len(scores)))
+    kept = np.arange(len(row)) - first[row] < k
+    return row[kept], col[kept]
+
+
+def cosines(q: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Cosines to six places, 0 where a vector has no length."""
+    norms = np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(b, axis=1)[None, :]
+    return np.round(np.divide(q @ b.T, norms, out=np.zeros(norms.shape), where=norms > 0), 6)
+
+
+def top_pairs(qi: np.ndarray, q: np.ndarray, bi: np.ndarray, b: np.ndarray, k: int, skip_self: bool) -> pa.RecordBatch:
+    s = cosines(q, b)
+    if skip_self:
+        s[qi[:, None] == bi[None, :]] = -np.inf
+    row, col = best_of(s, bi, k)
+    return pa.RecordBatch.from_arrays([pa.array(qi[row]), pa.array(bi[col]), pa.array(s[row, col])], names=["query_id", "id", "score"])
 
 
 def knn_cosine(queries: DataFrame, base: DataFrame, k: int, query_id: str, base_id: str, vector: str = "embedding", block: int = BLOCK, skip_self: bool = False) -> DataFrame:
     """(query_id, id, score, rank): the k most similar base rows of every query, scores to six places, ties by id.
 
     Both sides are cut into blocks; each pair of blocks is one matrix product that keeps k rows
-    a query, and only those are shuffled and ranked.
+    a query, and only those are shuffled and ranked. Blocks meet where they lie, without an
+    exchange of the pairs.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(len(batch)):
                 (qi, qv, bi, bv) = (batch.column(c)[r].values.to_numpy() for c in ("q_ids", "q_values", "b_ids", "b_values"))
-                q, b = qv.reshape(len(qi), -1), bv.reshape(len(bi), -1)
-                norms = np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(b, axis=1)[None, :]
-                s = np.round(np.divide(q @ b.T, norms, out=np.zeros(norms.shape), where=norms > 0), 6)
-                if skip_self:
-                    s[qi[:, None] == bi[None, :]] = -np.inf
-                by_id = np.argsort(bi, kind="stable")
-                top = by_id[np.argsort(-s[:, by_id], axis=1, kind="stable")[:, :k]]
-                best = np.take_along_axis(s, top, axis=1)
-                ok = np.isfinite(best)
-                yield pa.RecordBatch.from_arrays([pa.array(np.broadcast_to(qi[:, None], top.shape)[ok]), pa.array(bi[top][ok]), pa.array(best[ok])], names=["query_id", "id", "score"])
+                yield top_pairs(qi, qv.reshape(len(qi), -1), bi, bv.reshape(len(bi), -1), k, skip_self)
 
     pairs = _blocks(queries, "q", query_id, vector, block).crossJoin(_blocks(base, "b", base_id, vector, block))
-    pairs = pairs.select("q_ids", "q_values", "b_ids", "b_values").repartition(F.xxhash64("q_ids", "b_ids"))
-    found = pairs.mapInArrow(run, "query_id bigint, id bigint, score double")
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    found = pairs.select("q_ids", "q_values", "b_ids", "b_values").mapInArrow(run, "query_id bigint, id bigint, score double")
+    return ranked(found, k)
+
+
+def unit(v: np.ndarray) -> np.ndarray:
+    length = np.linalg.norm(v, axis=1, keepdims=True)
+    return np.divide(v, length, out=np.zeros_like(v), where=length > 0)
+
+
+def cells_of(base: DataFrame, base_id: str, vector: str = "embedding", cells: int | None = None, sample: int = 20_000, rounds: int = 8) -> np.ndarray:
+    """Centres of the cells of an inverted-file index: spherical k-means over at most sample rows, those of least id hash.
+
+    The sample fits the cells alone; every row is then indexed. Equal inputs give equal centres.
+    """
+    rows = base.where(f"`{vector}` is not null").select(vector).orderBy(F.xxhash64(base_id), base_id).limit(sample).collect()
+    if not rows:
+        return np.zeros((1, 1))
+    x = unit(np.array([r[0] for r in rows], dtype=np.float64))
+    n = min(len(x), cells or max(1, round(2 * np.sqrt(len(x)))))
+    centres = x[np.linspace(0, len(x) - 1, n).astype(int)]
+    for _ in range(rounds):
+        own = np.argmax(x @ centres.T, axis=1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, own, x)
+        centres = np.where(np.bincount(own, minlength=n)[:, None] > 0, unit(sums), centres)
+    return centres
+
+
+def in_cells(df: DataFrame, centres: np.ndarray, id_col: str, vector: str, nearest: int) -> DataFrame:
+    """(id, v, cell): every row, once for each of its nearest cells."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            v = batch.column("v")
+            x = unit(v.flatten().to_numpy().reshape(len(batch), -1))
+            row, cell = best_of(x @ centres.T, np.arange(len(centres)), nearest)
+            at = pa.array(row)
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(at), v.take(at), pa.array(cell.astype(np.int32))], names=["id", "v", "cell"])
+
+    own = df.where(f"`{vector}` is not null").select(F.col(id_col).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    return own.mapInArrow(run, "id bigint, v array<double>, cell int")
+
+
+def knn_approximate(queries: DataFrame, base: DataFrame, k: int, query_id: str, base_id: str, vector: str = "embedding", probes: int = 16, cells: int | None = None, skip_self: bool = False, block: int = BLOCK) -> DataFrame:
+    """(query_id, id, score, rank) as knn_cosine(), looked for in each query's probes nearest cells only.
+
+    Cells of many rows are split into blocks, and a cell's queries go to each of its blocks, so
+    no task holds more than about block rows of either side's cell.
+    """
+    centres = cells_of(base, base_id, vector, cells)
+    b, q = in_cells(base, centres, base_id, vector, 1), in_cells(queries, centres, query_id, vector, probes)
+
+    def blocked(df: DataFrame, side: str) -> DataFrame:
+        sizes = df.groupBy("cell").agg(F.ceil(F.count("*") / block).cast("int").alias("n"))  # a row a cell
+        return df.join(sizes, "cell").groupBy("cell", F.pmod(F.xxhash64("id"), F.col("n")).alias("part")).agg(F.collect_list("id").alias(f"{side}_ids"), F.flatten(F.collect_list("v")).alias(f"{side}_values")).drop("part")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(len(batch)):
+                (qi, qv, bi, bv) = (batch.column(c)[r].values.to_numpy() for c in ("q_ids", "q_values", "b_ids", "b_values"))
+                yield top_pairs(qi, qv.reshape(len(qi), -1), bi, bv.reshape(len(bi), -1), k, skip_self)
+
+    pairs = blocked(q, "q").join(blocked(b, "b"), "cell").select("q_ids", "q_values", "b_ids", "b_values")
+    return ranked(pairs.mapInArrow(run, "query_id bigint, id bigint, score double"), k)
 
 
 def terms(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda x: x != "")
 
 
-def bm25(queries: DataFrame, docs: DataFrame, query_id: str, doc_id: str, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """(query_id, id, score) of every pair with a common term, to six places. Postings are reduced to the queries' terms before they are weighed."""
-    d = docs.select(F.col(doc_id).alias("id"), terms(F.col("text")).alias("t"))
-    stats = d.agg(F.count("*").alias("n"), F.avg(F.size("t")).alias("avg_len"))
-    q = queries.select(F.col(query_id).alias("query_id"), F.explode(F.array_distinct(terms(F.col("text")))).alias("term")).where("term is not null")
-    wanted = q.select("term").distinct()
-    post = d.select("id", F.size("t").alias("len"), F.explode("t").alias("term")).join(wanted, "term", "left_semi").groupBy("id", "len", "term").agg(F.count("*").alias("tf"))
-    df = post.groupBy("term").agg(F.count("*").alias("df"))
-    idf = F.log1p((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weight = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("len") / F.col("avg_len")))
-    weighed = post.join(df, "term").crossJoin(F.broadcast(stats)).select("id", "term", weight.alias("w"))  # one row
-    return weighed.join(q, "term").groupBy("query_id", "id").agg(F.round(F.sum("w"), 6).alias("score"))
+def term_counts(texts: pa.Array, wanted: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(length, doc, term, tf): the terms of each text, and how often each wanted one is in each."""
+    lists = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts, "")), "[^a-z0-9]+")
+    flat = lists.flatten()
+    doc = np.repeat(np.arange(len(texts)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    real = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
+    number = pc.fill_null(pc.index_in(flat, value_set=wanted), -1).to_numpy(zero_copy_only=False)
+    met = number >= 0
+    pair, tf = np.unique(doc[met].astype(np.int64) * max(1, len(wanted)) + number[met], return_counts=True)
+    return np.bincount(doc[real], minlength=len(texts)), pair // max(1, len(wanted)), pair % max(1, len(wanted)), tf
+
+
+def bm25(queries: DataFrame, docs: DataFrame, query_id: str, doc_id: str, most: int, k1: float = 1.2, b: float = 0.75, block: int = QUERIES) -> DataFrame:
+    """(query_id, id, score, rank): for every query the most relevant rows that share a term with it, scores to six places, ties by id.
+
+    One map over docs counts documents and lengths and the queries' terms, a second one scores:
+    the terms' weights and the queries go to the tasks, a block of queries at a time (block of
+    them, whatever the number), each batch keeps most rows a query, and only those are shuffled
+    and ranked. No posting is. Null texts have no terms.
+    """
+    spark = docs.sparkSession
+    own = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
+    asked = queries.select(F.col(query_id).cast("bigint").alias("query_id"), F.array_distinct(terms(F.col("text"))).alias("terms")).where("size(terms) > 0")
+    blocks, out = max(1, -(-asked.count() // block)), None
+    for i in range(blocks):
+        some = [(r.query_id, r.terms) for r in asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i).orderBy("query_id").collect()]
+        wanted = pa.array(sorted({t for _, own_terms in some for t in own_terms}), pa.string())
+        found = _bm25_block(own, some, wanted, most, k1, b)
+        out = found if out is None else out.unionByName(found)
+    return ranked(out, most) if out is not None else spark.createDataFrame([], "query_id bigint, id bigint, score double, rank int")
+
+
+def _bm25_block(own: DataFrame, some: list, wanted: pa.Array, most: int, k1: float, b: float) -> DataFrame:
+    place = {t: i for i, t in enumerate(wanted.to_pylist())}
+    ids = np.array([q for q, _ in some], dtype=np.int64)
+    of = np.concatenate([[q] * len(t) for q, (_, t) in enumerate(some)]).astype(np.int64) if some else np.zeros(0, dtype=np.int64)
+    term = np.array([place[x] for _, t in some for x in t], dtype=np.int64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total, df = 0, 0, np.zeros(len(wanted), dtype=np.int64)
+        for batch in batches:
+            length, _, t, _ = term_counts(batch.column("text"), wanted)
+            n, total, df = n + len(length), total + int(length.sum()), df + np.bincount(t, minlength=len(df))
+        yield pa.RecordBatch.from_arrays([pa.array([-2, -1, *range(len(df))], pa.int32()), pa.array([n, total, *df.tolist()], pa.int64())], names=["what", "n"])
+
+    stats = {r.what: r.n for r in own.mapInArrow(count, "what int, n bigint").groupBy("what").agg(F.sum("n").alias("n")).collect()}  # a row a term
+    n, average = stats.get(-2, 0), stats.get(-1, 0) / max(1, stats.get(-2, 0))
+    df = np.array([stats.get(i, 0) for i in range(len(wanted))], dtype=np.float64)
+    idf = np.log1p((n - df + 0.5) / (df + 0.5))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        has = np.zeros((len(wanted), len(ids)))
+        has[term, of] = 1.0
+        for whole in batches:
+            for at in range(0, len(whole), DOCS):
+                batch = whole.slice(at, DOCS)
+                length, doc, t, tf = term_counts(batch.column("text"), wanted)
+                if not len(doc):
+                    continue
+                weight = np.zeros((len(batch), len(wanted)))
+                weight[doc, t] = idf[t] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length[doc] / max(average, 1e-9)))
+                s = (weight @ has).T
+                row, col = best_of(np.where(s > 0, np.round(s, 6), -np.inf), batch.column("id").to_numpy(zero_copy_only=False), most)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[row]), batch.column("id").take(pa.array(col)), pa.array(np.round(s[row, col], 6))], names=["query_id", "id", "score"])
+
+    return own.where("id is not null").mapInArrow(score, "query_id bigint, id bigint, score double")
 
 
 def ranked(scores: DataFrame, most: int | None = None) -> DataFrame:
@@ -80,10 +215,19 @@ def fused(a: DataFrame, b: DataFrame, k: int, constant: int = 60) -> DataFrame:
 
 
 def quantized(vectors: DataFrame, id_col: str, vector: str = "embedding") -> DataFrame:
-    """(id, dim, q): each dimension mapped linearly from its least and greatest value to -128..127."""
-    flat = vectors.select(F.col(id_col).alias("id"), F.posexplode(vector).alias("dim", "x")).withColumn("x", F.col("x").cast("double"))
-    edges = flat.groupBy("dim").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    return flat.join(edges, "dim").select("id", "dim", (F.when(F.col("hi") > F.col("lo"), F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * 255 + 0.5)).otherwise(0) - 128).cast("int").alias("q"))
+    """(id, dim, q): each dimension mapped linearly from its least and greatest value to -128..127.
+
+    Edges are aggregated by dimension (partially in each task) and come back as one row of two
+    arrays, as long as a vector; rows are mapped where they are.
+    """
+    edges = vectors.select(F.posexplode(vector).alias("dim", "x")).groupBy("dim").agg(F.min(F.col("x").cast("double")).alias("lo"), F.max(F.col("x").cast("double")).alias("hi"))
+    pair = edges.agg(F.array_sort(F.collect_list(F.struct("dim", "lo", "hi"))).alias("edges"))
+
+    def step(x: Column, i: Column) -> Column:
+        e, x = F.get("edges", i), x.cast("double")
+        return (F.when(e["hi"] > e["lo"], F.floor((x - e["lo"]) / (e["hi"] - e["lo"]) * 255 + 0.5)).otherwise(0) - 128).cast("int")
+
+    return vectors.select(F.col(id_col).alias("id"), F.col(vector).alias("v")).crossJoin(F.broadcast(pair)).select("id", F.posexplode(F.transform("v", step)).alias("dim", "q"))  # one row
 
 
 def facets(chunks: DataFrame, *fields: str) -> DataFrame:

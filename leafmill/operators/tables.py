@@ -149,18 +149,110 @@ def row_chunks(rows: DataFrame) -> DataFrame:
     )
 
 
-def layout_row_chunks(layout_tables: DataFrame, cells: DataFrame, paragraphs: DataFrame, source_file: Column, config: Config = DEFAULT) -> DataFrame:
-    """Row chunks of layout tables, without a second reader."""
+def described_tables(layout_tables: DataFrame, cells: DataFrame, paragraphs: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """(doc_id, table_index, page, local_index, caption, headers, label, lead_in, max_header_row) of each table."""
+    none = F.array().cast("array<string>")
+    top = cells.where("row = 0").groupBy(*TABLE).agg(F.transform(F.array_sort(F.collect_list(F.struct("col", "cell", checkbox_text(F.col("content")).alias("text")))), lambda x: x["text"]).alias("first_row"))
+    levels = cells.where("kind = 'columnHeader'").groupBy(*TABLE).agg(F.max("row").alias("max_header_row"))
+    told = layout_tables.select(*TABLE, "page", "local_index", "caption").join(fused_headers(cells), TABLE, "left").join(top, TABLE, "left").join(lead_ins(layout_tables, paragraphs, config), TABLE, "left").join(levels, TABLE, "left")
+    told = told.withColumn("headers", F.coalesce("headers", none)).withColumn("max_header_row", F.coalesce("max_header_row", F.lit(0)))
+    return told.withColumn("label", table_label(F.col("caption"), F.col("headers"), F.coalesce("first_row", none))).drop("first_row")
+
+
+def body_rows(cells: DataFrame) -> DataFrame:
+    """(doc_id, table_index, row, nth, polygons): the rows that have a cell of the body, counted from 0 in nth."""
+    body = cells.where("not kind <=> 'columnHeader'")
+    rows = body.groupBy(*TABLE, "row").agg(F.transform(F.array_sort(F.collect_list(F.struct("cell", "polygon"))), lambda x: x["polygon"]).alias("polygons"))
+    return rows.withColumn("nth", F.row_number().over(Window.partitionBy(*TABLE).orderBy("row")) - 1)
+
+
+def body_grid(cells: DataFrame) -> DataFrame:
+    """cell_grid() of the body's cells, down to its last row."""
     body = cells.where("not kind <=> 'columnHeader'")
     last = body.groupBy(*TABLE).agg((F.max("row") + 1).alias("row_count"))
-    grid = fill_label_runs(cell_grid(body.drop("row_count").join(last, TABLE)))
-    polygons = body.groupBy(*TABLE, "row").agg(F.transform(F.array_sort(F.collect_list(F.struct("cell", "polygon"))), lambda x: x["polygon"]).alias("polygons"))
-    rows = grid.groupBy(*TABLE, "row").agg(F.transform(F.array_sort(F.collect_list(F.struct("col", "text"))), lambda x: x["text"]).alias("cells"))
-    top = cells.where("row = 0").groupBy(*TABLE).agg(F.transform(F.array_sort(F.collect_list(F.struct("col", "cell", checkbox_text(F.col("content")).alias("text")))), lambda x: x["text"]).alias("first_row"))
-    told = layout_tables.select(*TABLE, "page", "caption").join(fused_headers(cells), TABLE, "left").join(top, TABLE, "left").join(lead_ins(layout_tables, paragraphs, config), TABLE, "left")
-    none = F.array().cast("array<string>")
-    told = told.withColumn("headers", F.coalesce("headers", none)).withColumn("label", table_label(F.col("caption"), F.col("headers"), F.coalesce("first_row", none)))
-    return row_chunks(rows.join(polygons, [*TABLE, "row"]).join(told, TABLE).withColumn("source", F.lit("layout")).withColumn("source_file", source_file))
+    return cell_grid(body.drop("row_count").join(last, TABLE))
+
+
+def by_row(grid: DataFrame, value: str) -> DataFrame:
+    """(doc_id, table_index, row, cells) of a grid's column named value."""
+    return grid.groupBy(*TABLE, "row").agg(F.transform(F.array_sort(F.collect_list(F.struct("col", F.col(value).alias("v")))), lambda x: x["v"]).alias("cells"))
+
+
+def layout_row_chunks(layout_tables: DataFrame, cells: DataFrame, paragraphs: DataFrame, source_file: Column, config: Config = DEFAULT) -> DataFrame:
+    """Row chunks of layout tables, without a second reader."""
+    told = described_tables(layout_tables, cells, paragraphs, config)
+    rows = by_row(fill_label_runs(body_grid(cells)), "text").join(body_rows(cells), [*TABLE, "row"])
+    return row_chunks(rows.join(told, TABLE).withColumn("source", F.lit("layout")).withColumn("source_file", source_file))
+
+
+def read_choice(told: DataFrame, rows: DataFrame, second: DataFrame, markdown: DataFrame, confidence: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """told with the reader of each table, its flags and the second reader's last header row.
+
+    rows: body_rows(); second: pipe_tables() by doc_id and page; confidence: table_confidence().
+    Tables of the two readers meet by their place on the page.
+    """
+    page, place = ["doc_id", "page"], ["doc_id", "page", "local_index"]
+    read = markdown.where("markdown <> ''").select(*page, F.lit(True).alias("has_markdown")).distinct()
+    last = F.max_by(F.when(F.col("is_header"), F.col("cells")), F.when(F.col("is_header"), F.col("row")))
+    theirs = second.groupBy(*place).agg(F.count_if(~F.col("is_header")).alias("ocr_rows"), last.alias("ocr_headers"))
+    pages = theirs.groupBy(*page).agg(F.count("*").alias("page_ocr_tables"))
+    ours = rows.groupBy(*TABLE).agg(F.count("*").alias("layout_rows"))
+    rotated = F.exists("complexity_reasons", lambda r: F.contains(r, F.lit("rotated")))
+    sure = confidence.select(*place, "min_cell_confidence", rotated.alias("rotated"))
+    both = told.join(read, page, "left").join(pages, page, "left").join(theirs, place, "left").join(ours, TABLE, "left").join(sure, place, "left")
+    zero = {c: F.coalesce(c, F.lit(0)) for c in ("page_ocr_tables", "layout_rows")} | {c: F.coalesce(c, F.lit(False)) for c in ("has_markdown", "rotated")}
+    both = both.withColumns({**zero, "has_ocr_table": F.col("ocr_rows").isNotNull(), "ocr_rows": F.coalesce("ocr_rows", F.lit(0))})
+    return choose_reader(both, config)
+
+
+def second_reader_rows(chosen: DataFrame, second: DataFrame, rows: DataFrame, grid: DataFrame) -> DataFrame:
+    """(doc_id, table_index, row, cells, polygons) of the tables that the second reader gives, filled to the right and down.
+
+    Its rows meet the layout's by their place in the table; one beyond the last has blank layout
+    values and its place for a row number. Rows are padded to the table's widest.
+    """
+    theirs = chosen.where("source = 'ocr'").select(*TABLE, "page", "local_index").join(second.where("not is_header").withColumnRenamed("row", "nth"), ["doc_id", "page", "local_index"])
+    widest = theirs.groupBy(*TABLE).agg(F.max(F.size("cells")).alias("width"))
+    lines = grid.groupBy(*TABLE, "row").agg(F.array_sort(F.collect_list(F.struct("col", "text", "spanned"))).alias("line"))
+    met = theirs.join(widest, TABLE).join(rows, [*TABLE, "nth"], "left").join(lines, [*TABLE, "row"], "left")
+    columns = F.sequence(F.lit(0), F.col("width") - 1)
+    layout = F.transform(columns, lambda i: F.coalesce(F.get(F.col("line"), i)["text"], F.lit("")))
+    spans = F.transform(columns, lambda i: F.coalesce(F.get(F.col("line"), i)["spanned"], F.lit(False)))
+    padded = F.transform(columns, lambda i: F.coalesce(F.get(F.col("cells"), i), F.lit("")))
+    right = met.where("width > 0").withColumn("layout", layout).withColumn("cells", fill_right(padded, layout)).withColumn("spans", spans)
+    flat = right.select(*TABLE, "nth", F.coalesce("row", "nth").alias("row"), F.posexplode(F.arrays_zip("cells", "layout", "spans")).alias("col", "x")).select(*TABLE, "nth", "row", "col", F.col("x.cells").alias("text"), F.col("x.layout").alias("layout"), F.col("x.spans").alias("spanned"))
+    down = fill_down(flat, [*TABLE, "col"], ["nth"])
+    done = down.groupBy(*TABLE, "nth", "row").agg(F.transform(F.array_sort(F.collect_list(F.struct("col", "filled"))), lambda x: x["filled"]).alias("cells"))
+    return done.join(rows.select(*TABLE, "nth", "polygons"), [*TABLE, "nth"], "left").select(*TABLE, "row", "cells", F.coalesce("polygons", F.array().cast("array<array<double>>")).alias("polygons"))
+
+
+def table_path(layout_tables: DataFrame, cells: DataFrame, paragraphs: DataFrame, confidence: DataFrame, markdown: DataFrame, source_file: Column, config: Config = DEFAULT) -> tuple[DataFrame, DataFrame]:
+    """(chunks, report) of the tables read by either reader.
+
+    chunks as row_chunks(); report: (doc_id, page, table_index, local_index, caption, source,
+    flag_types, empty_ratio, flagged), one row a table, image artifacts included.
+    """
+    told, rows, grid = described_tables(layout_tables, cells, paragraphs, config), body_rows(cells), body_grid(cells)
+    second = pipe_tables(markdown.where("markdown <> ''"), ["doc_id", "page"])
+    chosen = read_choice(told, rows, second, markdown, confidence, config)
+    first = by_row(fill_label_runs(grid), "text").join(rows, [*TABLE, "row"]).join(chosen.where("source = 'layout'").select(*TABLE), TABLE, "left_semi")
+    every = first.select(*TABLE, "row", "cells", "polygons").unionByName(second_reader_rows(chosen, second, rows, grid))
+    headers = F.when((F.col("source") == "ocr") & F.col("ocr_headers").isNotNull(), F.col("ocr_headers")).otherwise(F.col("headers"))
+    full = every.join(chosen.select(*TABLE, "page", "source", headers.alias("headers"), "label", "lead_in"), TABLE).withColumn("source_file", source_file)
+    blanks = every.groupBy(*TABLE).agg(F.sum(F.size(F.filter("cells", lambda v: strip(v) == ""))).alias("blanks"), F.sum(F.size("cells")).alias("n"))
+    ratio = F.coalesce(F.col("blanks") / F.greatest("n", F.lit(1)), F.lit(0.0))
+    report = chosen.join(blanks, TABLE, "left").withColumn("empty_ratio", F.when(F.col("source") == "none", 0.0).otherwise(ratio))
+    flags = F.concat("flag_types", F.when(F.col("empty_ratio") > config.empty_ratio, F.array(F.lit("high_empty_ratio"))).otherwise(F.array().cast("array<string>")))
+    report = report.withColumn("flag_types", flags).withColumn("flagged", F.size("flag_types") > 0)
+    return row_chunks(full), report.select("doc_id", "page", "table_index", "local_index", "caption", "source", "flag_types", "empty_ratio", "flagged")
+
+
+def flags_text(report: DataFrame) -> DataFrame:
+    """(doc_id, text): each document's flagged tables for review, as Markdown."""
+    name = F.when(F.col("caption") != "", F.concat(F.lit('"'), "caption", F.lit('"'))).otherwise(F.concat(F.lit("Table "), F.col("local_index").cast("string")))
+    entry = F.concat(F.lit("## Page "), F.col("page").cast("string"), F.lit(" · Table "), F.col("local_index").cast("string"), F.lit(" · source: "), "source", F.lit("\n**"), name, F.lit("**\n\n"), F.array_join(F.transform("flag_types", lambda f: F.concat(F.lit("- `"), f, F.lit("`"))), "\n"))
+    listed = F.array_sort(F.collect_list(F.when(F.col("flagged"), F.struct("page", "table_index", entry.alias("e")))))
+    return report.groupBy("doc_id").agg(listed.alias("l")).select("doc_id", F.when(F.size("l") == 0, "# Flagged tables\n\nNone.\n").otherwise(F.concat(F.lit("# Flagged tables\n\n"), F.array_join(F.transform("l", lambda x: x["e"]), "\n\n"), F.lit("\n"))).alias("text"))
 
 
 def table_stats(t: DataFrame, keys: list[str]) -> DataFrame:

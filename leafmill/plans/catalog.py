@@ -13,6 +13,7 @@ from leafmill import schemas
 from leafmill.config import Config
 from leafmill.functions import geometry, text
 from leafmill.operators import figures, layout, paragraphs, search, tables
+from leafmill.sources import artifacts
 from leafmill.streaming import lifecycle
 
 QUERIES: dict = {}
@@ -366,13 +367,13 @@ lex AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC,
 """
 
 
-def lexical(spark, sf_dir):
-    return search.ranked(search.bm25(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), "item_id", "doc_id"), 50)
+def lexical(spark, sf_dir, most):
+    return search.bm25(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), "item_id", "doc_id", most)
 
 
 @query(f"WITH {BM25_SQL} SELECT query_id, id, round(score, 4) AS score FROM lex WHERE rank <= 8")
 def bm25(spark, sf_dir):
-    return lexical(spark, sf_dir).where("rank <= 8").select("query_id", "id", F.round("score", 4).alias("score"))
+    return lexical(spark, sf_dir, 8).select("query_id", "id", F.round("score", 4).alias("score"))
 
 
 @query(f"""WITH {BM25_SQL},
@@ -384,7 +385,7 @@ SELECT query_id, id, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_
 def hybrid_rrf(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
     q = e.join(table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("vec_id")), "vec_id", "left_semi")
-    return search.fused(lexical(spark, sf_dir), search.knn_cosine(q, e, 50, "vec_id", "vec_id"), 8).select("query_id", "id", "rank")
+    return search.fused(lexical(spark, sf_dir, 50), search.knn_cosine(q, e, 50, "vec_id", "vec_id"), 8).select("query_id", "id", "rank")
 
 
 @query("""
@@ -419,25 +420,30 @@ def context_blocks(spark, sf_dir):
 
 @query("""SELECT page_id, trim(regexp_replace(regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<[^>]*>', ' ', 'g'), '[ \\t\\n\\r]+', ' ', 'g')) AS content FROM pages""")
 def page_text(spark, sf_dir):
-    body = F.regexp_replace(F.regexp_extract("html", "(?s)<article>(.*?)</article>", 1), "<[^>]*>", " ")
-    return table(spark, sf_dir, "pages").select("page_id", F.trim(F.regexp_replace(body, "[ \\t\\n\\r]+", " ")).alias("content"))
+    """The article's blocks are body paragraphs, navigation a page header; page_texts() puts the body together."""
+    plain = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]*>", " "), "[ \\t\\n\\r]+", " "))
+    boxes = table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), F.lit(1).alias("page"), F.array(F.struct(F.lit("pageHeader").alias("role"), plain(F.regexp_extract("html", "(?s)<nav>(.*?)</nav>", 1)).alias("content")), F.struct(F.lit("").alias("role"), plain(F.regexp_extract("html", "(?s)<article>(.*?)</article>", 1)).alias("content"))).alias("p"))
+    body = boxes.select("doc_id", "page", F.posexplode("p").alias("ord", "p")).select("doc_id", "page", "ord", "p.role", "p.content").where(~F.col("role").isin(*Config().noise_roles))
+    return layout.page_texts(body).select(F.col("doc_id").alias("page_id"), F.col("raw_content").alias("content"))
 
 
-@query("SELECT page_id, regexp_replace(url, '^.*?/en/', '') AS name, contains(url, '.html') AS is_html FROM pages")
+@query("SELECT page_id, regexp_replace(url, '^.*?/en/', '') AS name, ends_with(lower(url), '.pdf') AS is_pdf FROM (SELECT page_id, replace(url, '.html', CASE WHEN page_id % 2 = 0 THEN '.PDF' ELSE '.html' END) AS url FROM pages)")
 def name_from_url(spark, sf_dir):
-    url = F.regexp_replace("url", "/en/", "/documents/")
-    return table(spark, sf_dir, "pages").select("page_id", text.blob_name(url).alias("name"), F.contains("url", F.lit(".html")).alias("is_html"))
+    own = F.replace("url", F.lit(".html"), F.when(F.col("page_id") % 2 == 0, ".PDF").otherwise(".html"))
+    name = text.blob_name(F.regexp_replace(own, "/en/", "/documents/"))
+    return table(spark, sf_dir, "pages").select("page_id", name.alias("name"), text.is_pdf(name).alias("is_pdf"))
 
 
 @query("SELECT substr(sha256(text), 1, 16) AS content_id, min(doc_id) AS doc_id, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY sha256(text)")
 def dedup_content(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.sha2("text", 256).alias("h"))
-    return d.groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n")).select(F.substring("h", 1, 16).alias("content_id"), "doc_id", "n")
+    d = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", text.document_id(F.col("text")).alias("content_id"))
+    return d.groupBy("content_id").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
 
 
 @query("SELECT user_id, arg_max(event_id, (ts, event_id)) AS run_id FROM events GROUP BY user_id")
 def newest_run(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("run_id"))
+    steps = table(spark, sf_dir, "events").select(F.col("user_id").alias("doc_id"), F.col("event_id").alias("run_id"), F.struct("ts", "event_id").alias("ts"))
+    return artifacts.newest_runs(steps).select(F.col("doc_id").alias("user_id"), "run_id")
 
 
 @query("SELECT user_id AS id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,6 +44,8 @@ def embedded(chunks: DataFrame, embed: Callable[[list[str]], list[list[float]]],
             for i in range(0, len(whole), batch):
                 part = whole.slice(i, batch)
                 vectors = call(part.column("text_for_embedding").to_pylist())
+                if vectors and isinstance(vectors[0], dict):  # {index, embedding}, in any order
+                    vectors = [v["embedding"] for v in sorted(vectors, key=lambda v: v["index"])]
                 if len(vectors) != len(part):
                     raise ValueError("one vector for each text is due")
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(vectors, pa.list_(pa.float32()))], names=[*part.schema.names, "embedding"])
@@ -52,18 +55,21 @@ def embedded(chunks: DataFrame, embed: Callable[[list[str]], list[list[float]]],
     return own.mapInArrow(run, ddl + ", embedding array<float>")
 
 
-def described(candidates: DataFrame, describe: Callable[[dict], str | None], delays: tuple[float, ...] = VISION_DELAYS) -> DataFrame:
-    """candidates with reply; a call that fails gives null, so the figure is kept unverified."""
+def described(candidates: DataFrame, describe: Callable[[dict], str | None], delays: tuple[float, ...] = VISION_DELAYS, concurrent: int = 4) -> DataFrame:
+    """candidates with reply, concurrent calls at a time; a call that fails gives null, so the figure is kept unverified."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         call = retried(describe, delays)
+
+        def one(row: dict) -> str | None:
+            try:
+                return call(row)
+            except Exception:  # the contract: no record instead of an error
+                return None
+
         for part in batches:
-            replies = []
-            for row in part.to_pylist():
-                try:
-                    replies.append(call(row))
-                except Exception:  # the contract: no record instead of an error
-                    replies.append(None)
+            with ThreadPoolExecutor(concurrent) as pool:
+                replies = list(pool.map(one, part.to_pylist()))
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(replies, pa.string())], names=[*part.schema.names, "reply"])
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in candidates.schema.fields)
@@ -80,3 +86,15 @@ def second_reading(pages: DataFrame, read: Callable[[dict], str], delays: tuple[
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields)
     return pages.mapInArrow(run, ddl + ", markdown string")
+
+
+def analyzed(documents: DataFrame, analyze: Callable[[dict], str], delays: tuple[float, ...] = OCR_DELAYS) -> DataFrame:
+    """documents with layout, the layout service's JSON for each; artifacts.layout_json() reads it once it is written as lines."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        call = retried(analyze, delays)
+        for part in batches:
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array([call(r) for r in part.to_pylist()], pa.string())], names=[*part.schema.names, "layout"])
+
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)
+    return documents.mapInArrow(run, ddl + ", layout string")

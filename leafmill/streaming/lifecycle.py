@@ -1,8 +1,10 @@
 """Created and deleted documents: the decision for each event, upserts, deletes, and the same in a stream.
 
-State is three Parquet tables under one folder (names, chunks, metrics), each written as a new
-version and then named by a pointer file, so a job that dies leaves the old version in force
-and a batch that comes again gives the same state.
+State is three Parquet tables under one folder (names, chunks, metrics). A version is written
+whole and then named by a new pointer file of the next number, put in place by one rename; the
+pointer of the greatest number is in force. Nothing is deleted before that, and the version before
+stays for readers that have it open, so a job that dies at any point leaves the old version or the
+new one in force, and a batch that comes again gives the same state.
 """
 
 from __future__ import annotations
@@ -31,6 +33,26 @@ def upserted(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.join(new.select(*keys), keys, "left_anti").unionByName(new)
 
 
+def upserted_with_counts(old: DataFrame, new: DataFrame, keys: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The table with the last of new's rows of each key in place of its own, and (inserted, updated): how many of either. Raises, as it is read, where a row has no embedding."""
+    own = latest(indexable(new) if "embedding" in new.columns else new, keys, order)
+    known = old.select(*keys).withColumn("known__", F.lit(True))
+    counts = own.select(*keys).join(known, keys, "left").agg(F.count_if(F.col("known__").isNull()).alias("inserted"), F.count_if(F.col("known__").isNotNull()).alias("updated"))
+    return upserted(old, own.select(*old.columns), keys), counts
+
+
+def resolved(wanted: DataFrame, index: DataFrame, legacy: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(name, doc_id) of each wanted name by the name index, else by the documents' own records, the first by (doc_id); and the index with what only those knew.
+
+    index: (name, doc_id); legacy: (name, doc_id), scanned only for names that the index lacks.
+    """
+    names = wanted.select("name").distinct()
+    missed = names.join(index, "name", "left_anti")
+    found = legacy.join(missed, "name", "left_semi").groupBy("name").agg(F.min("doc_id").alias("doc_id"))
+    whole = index.select("name", "doc_id").unionByName(found)
+    return names.join(whole, "name", "left").select("name", "doc_id"), whole
+
+
 def without_documents(chunks: DataFrame, gone: DataFrame) -> DataFrame:
     return chunks.join(gone.select("document_id").distinct(), "document_id", "left_anti").select(*chunks.columns)
 
@@ -56,28 +78,29 @@ class Store:
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
+    def pointers(self, name: str) -> list[tuple[int, str]]:
+        """(number, version) of the table's pointers, the one in force last."""
+        found = self._fs.globStatus(self._path(f"{self.path}/{name}.version.*")) or []
+        return sorted((int(own[2]), own[3]) for own in (f.getPath().getName().split(".") for f in found))
+
     def read(self, name: str, schema: str) -> DataFrame:
-        pointer = self._path(f"{self.path}/{name}.version")
-        if not self._fs.exists(pointer):
+        found = self.pointers(name)
+        if not found:
             return self.spark.createDataFrame([], schema)
-        version = self.spark.read.text(f"{self.path}/{name}.version").first()[0]
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{version}")
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{found[-1][1]}")
 
     def write(self, name: str, df: DataFrame) -> None:
-        """Writes a version, then replaces the pointer by a rename, then removes the version before."""
-        pointer, old = self._path(f"{self.path}/{name}.version"), None
-        if self._fs.exists(pointer):
-            old = self.spark.read.text(f"{self.path}/{name}.version").first()[0]
-        version = f"{name}-{uuid.uuid4().hex}"
+        found, version = self.pointers(name), f"{name}-{uuid.uuid4().hex}"
         df.write.parquet(f"{self.path}/{version}")
-        fresh = self._path(f"{self.path}/{version}.pointer")
-        out = self._fs.create(fresh, True)
-        out.write(bytearray(version.encode()))
-        out.close()
-        self._fs.delete(pointer, False)
-        self._fs.rename(fresh, pointer)
-        if old:
+        fresh = self._path(f"{self.path}/_new-{version}")
+        self._fs.create(fresh, True).close()
+        number = found[-1][0] + 1 if found else 1
+        if not self._fs.rename(fresh, self._path(f"{self.path}/{name}.version.{number:012d}.{version}")):
+            raise OSError(f"the pointer of {version} can't be put in place")
+        for _, old in found[:-1]:  # all but the one before
             self._fs.delete(self._path(f"{self.path}/{old}"), True)
+        for number, old in found[:-1]:
+            self._fs.delete(self._path(f"{self.path}/{name}.version.{number:012d}.{old}"), False)
 
 
 class Lifecycle:
