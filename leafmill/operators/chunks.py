@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from leafmill import schemas
 from leafmill.config import DEFAULT, Config
 from leafmill.operators import figures, layout, paragraphs, tables
 
-COLUMNS = [f.name for f in T.StructType.fromDDL(schemas.CHUNK).fields if f.name != "embedding"]
+COLUMNS = [c.split()[0] for c in schemas.CHUNK.split(", ") if not c.startswith("embedding ")]
 
 
 def paragraph_rows(raw: DataFrame, labels: DataFrame, config: Config = DEFAULT) -> DataFrame:

@@ -80,7 +80,7 @@ def cells_of(base: DataFrame, base_id: str, vector: str = "embedding", cells: in
     if not rows:
         return np.zeros((1, 1))
     x = unit(np.array([r[0] for r in rows], dtype=np.float64))
-    n = min(len(x), cells or max(1, round(2 * np.sqrt(len(x)))))
+    n = min(len(x), cells or max(1, round(np.sqrt(len(x)))))
     centres = x[np.linspace(0, len(x) - 1, n).astype(int)]
     for _ in range(rounds):
         own = np.argmax(x @ centres.T, axis=1)

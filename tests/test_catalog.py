@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from leafmill.plans import catalog
+from leafmill.plans import catalog, layouts  # noqa: F401  layouts adds to the catalog
 
 
 @pytest.fixture(scope="module")
