@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import cut, hashable, one_of_each, row_key
+from leafmill.llm.common import cut, hashable, row_key
 
 LEAF, FAN, RUN, SEED, SLIP = 8192, 64, 4096, 20240701, 1e-9
 
@@ -148,6 +148,6 @@ def mixed(docs: DataFrame, weights: dict | None = None, scale: float = 1.0, seed
     columns = [F.col(f"`{c}`") for c in docs.columns if c != "copy"]
     first = F.explode(F.sequence(F.lit(1).cast("bigint"), copies, F.lit(RUN).cast("bigint")))
     # equal rows are alike, so that one of them stands for all
-    several = one_of_each(joined.where(F.col(many) > 1), [row]).withColumn(MARK + "from", first)
+    several = joined.where(F.col(many) > 1).dropDuplicates([row]).withColumn(MARK + "from", first)
     each = joined.where(F.col(many) == 1).withColumn(MARK + "from", first).unionByName(several)
     return each.select(*columns, F.explode(F.sequence(F.col(MARK + "from"), F.least(F.col(MARK + "from") + RUN - 1, F.col(copies))).cast("array<int>")).alias("copy"))
