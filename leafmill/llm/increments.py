@@ -36,18 +36,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import cut, pieces, remove_path, row_key, shared_path
+from leafmill.llm.common import cut, pieces, remove_path, row_hash, shared_path
 from leafmill.llm.suffixes import merged_spans
 from leafmill.llm.tokens import Powers, Words, buffer_of, byte_values, gram_hashes, mix, not_space, winnow
 
 K, GAP, FAN, BATCHES, SHARE = 20, 21, 3, 4, 4096
 WORDS = K + GAP - 1
 
-PLACE = "struct<batch int, no_id boolean, doc_id bigint, row binary, pos int, context bigint, before int, more int>"
+PLACE = "struct<batch int, no_id boolean, doc_id bigint, row bigint, pos int, context bigint, before int, more int>"
 
 
 def rows_of(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), row_key("doc_id", "text").alias("row"))
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), row_hash(0, "doc_id", "text").alias("row"))
 
 
 def run_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers) -> np.ndarray:
@@ -88,7 +88,7 @@ def window_hashes(rows: DataFrame, k: int = K, gap: int = GAP) -> DataFrame:
                 names=["hash", "doc_id", "row", "pos", "context", "before", "more"],
             )
 
-    return rows.mapInArrow(run, "hash bigint, doc_id bigint, row binary, pos int, context bigint, before int, more int")
+    return rows.mapInArrow(run, "hash bigint, doc_id bigint, row bigint, pos int, context bigint, before int, more int")
 
 
 class Run:
@@ -185,7 +185,7 @@ def whole_runs(rows: DataFrame, words: int) -> DataFrame:
                     [pa.array(hashes[s]), pa.array(batch[each[s]].astype(np.int32)), part.column("doc_id").take(of), part.column("row").take(of), pa.array(start[s].astype(np.int32))], names=["full", "batch", "doc_id", "row", "start"]
                 )
 
-    found = rows.select("doc_id", "row", "text", "listed").mapInArrow(run, "full bigint, batch int, doc_id bigint, row binary, start int")
+    found = rows.select("doc_id", "row", "text", "listed").mapInArrow(run, "full bigint, batch int, doc_id bigint, row bigint, start int")
     return found.select("full", F.struct("batch", F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "start").alias("place"))
 
 
@@ -211,10 +211,10 @@ def ranges(rows: DataFrame, words: int) -> DataFrame:
                     start = max(0, r["lo"] - words, r["lo"] - r["first_lo"])
                     out.append((r["first_row"], r["share"], 1, doc_id, row, start, start - r["lo"] + r["first_lo"], r["first_doc_id"], b" ".join(own[start : r["hi"] + words])))
             for i in range(0, len(out), 2048):
-                columns = [pa.array(c, t) for c, t in zip(zip(*out[i : i + 2048]), (pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.binary()))]
+                columns = [pa.array(c, t) for c, t in zip(zip(*out[i : i + 2048]), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()))]
                 yield pa.RecordBatch.from_arrays(columns, names=["first_row", "share", "kind", "doc_id", "row", "start", "first_start", "first_doc_id", "text"])
 
-    return rows.mapInArrow(run, "first_row binary, share bigint, kind int, doc_id bigint, row binary, start int, first_start int, first_doc_id bigint, text binary")
+    return rows.mapInArrow(run, "first_row bigint, share bigint, kind int, doc_id bigint, row bigint, start int, first_start int, first_doc_id bigint, text binary")
 
 
 def equal_runs(a: list[bytes], b: list[bytes], least: int) -> list[tuple[int, int]]:
@@ -255,10 +255,10 @@ def verified(candidates: DataFrame, docs: DataFrame, k: int = K, gap: int = GAP)
                         if x < y:
                             out.append((doc_id, row, start + x, start + y, first_doc_id))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64()))], names=["doc_id", "row", "start_word", "end_word", "first_doc_id"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()))], names=["doc_id", "row", "start_word", "end_word", "first_doc_id"])
 
     both = left.unionByName(sources).repartition("first_row", "share").sortWithinPartitions("first_row", "share", "kind")
-    return both.select("first_row", "share", "kind", "doc_id", "row", "start", "first_start", "first_doc_id", "text").mapInArrow(run, "doc_id bigint, row binary, start_word int, end_word int, first_doc_id bigint")
+    return both.select("first_row", "share", "kind", "doc_id", "row", "start", "first_start", "first_doc_id", "text").mapInArrow(run, "doc_id bigint, row bigint, start_word int, end_word int, first_doc_id bigint")
 
 
 def incremental_spans(docs: DataFrame, batches: int = BATCHES, k: int = K, gap: int = GAP, fan: int = FAN) -> DataFrame:
@@ -268,7 +268,7 @@ def incremental_spans(docs: DataFrame, batches: int = BATCHES, k: int = K, gap:
     gives the same spans since a batch's verification has no effect on the runs.
     """
     spark = docs.sparkSession
-    path, stored = shared_path(spark, "windows"), "hash bigint, doc_id bigint, row binary, pos int, context bigint, before int, more int, batch int"
+    path, stored = shared_path(spark, "windows"), "hash bigint, doc_id bigint, row bigint, pos int, context bigint, before int, more int, batch int"
     window_hashes(rows_of(docs), k, gap).withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")).write.partitionBy("batch").parquet(path)
     if not spark.read.schema(stored).parquet(path).limit(1).collect():
         return spark.createDataFrame([], "doc_id bigint, start_word int, end_word int, first_doc_id bigint")

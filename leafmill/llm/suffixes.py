@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import pieces, row_key
+from leafmill.llm.common import pieces, row_hash
 from leafmill.llm.tokens import Powers, Words, buffer_of, byte_values, gram_hashes, not_space, winnow
 
 WORDS, ANCHOR, SHALLOW = 40, 8, 12
@@ -157,7 +157,7 @@ def anchors(docs: DataFrame, words: int, anchor: int) -> DataFrame:
                 names=["anchor", "row", "pos", "lo", "hi"],
             )
 
-    return docs.mapInArrow(run, "anchor bigint, row binary, pos int, lo int, hi int")
+    return docs.mapInArrow(run, "anchor bigint, row bigint, pos int, lo int, hi int")
 
 
 def contexts(docs: DataFrame, words: int) -> DataFrame:
@@ -179,7 +179,7 @@ def contexts(docs: DataFrame, words: int) -> DataFrame:
                 [pa.array(anchor), pa.array(pos - lo), pa.array(out, pa.binary()), part.column("doc_id").take(of), part.column("row").take(of), pa.array(lo)], names=["anchor", "before", "context", "doc_id", "row", "start"]
             )
 
-    return docs.mapInArrow(run, "anchor bigint, before int, context binary, doc_id bigint, row binary, start int")
+    return docs.mapInArrow(run, "anchor bigint, before int, context binary, doc_id bigint, row bigint, start int")
 
 
 def equal_windows(befores: list[int], texts: list[bytes], words: int, anchor: int, shallow: int) -> list[list[int]]:
@@ -242,7 +242,7 @@ def differing(words: int, anchor: int, shallow: int):
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([None if p[0] else p[1] for p, _ in got], pa.int64()),
-                pa.array([p[2] for p, _ in got], pa.binary()),
+                pa.array([p[2] for p, _ in got], pa.int64()),
                 pa.array([h[1] for _, h in got], pa.int32()),
                 pa.array([h[2] for _, h in got], pa.int32()),
                 pa.array([None if h[0][0][0] else h[0][0][1] for _, h in got], pa.int64()),
@@ -281,7 +281,7 @@ def repeated_spans(docs: DataFrame, words: int = WORDS, anchor: int = ANCHOR, sh
     """(doc_id, start_word, end_word, first_doc_id): word spans to remove, and a document that has the same words earlier."""
     if not 1 <= anchor <= words:
         raise ValueError("anchor must be between 1 and words")
-    own = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), row_key("doc_id", "text").alias("row"))
+    own = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), row_hash(0, "doc_id", "text").alias("row"))
     found = anchors(own, words, anchor)
     shared = found.withColumn("n", F.count("*").over(Window.partitionBy("anchor"))).where("n > 1")
     lists = shared.groupBy("row").agg(F.collect_list(F.struct("anchor", "pos", "lo", "hi")).alias("anchors"))
@@ -308,5 +308,5 @@ def repeated_spans(docs: DataFrame, words: int = WORDS, anchor: int = ANCHOR, sh
             F.col("first.doc_id").alias("first_doc_id"),
         )
     )
-    several = met.where("m > 1").select("anchor", "before", "context", "places").sortWithinPartitions("anchor").mapInArrow(differing(words, anchor, shallow), "doc_id bigint, row binary, start_word int, end_word int, first_doc_id bigint")
+    several = met.where("m > 1").select("anchor", "before", "context", "places").sortWithinPartitions("anchor").mapInArrow(differing(words, anchor, shallow), "doc_id bigint, row bigint, start_word int, end_word int, first_doc_id bigint")
     return merged_spans(alike.unionByName(several).where("start_word < end_word"), "doc_id", "row").drop("row")
