@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import re
 import shutil
 import tempfile
@@ -58,6 +59,18 @@ def map_rows(docs: DataFrame, run: Callable) -> DataFrame:
     return own.mapInArrow(run, own.schema).toDF(*docs.columns)
 
 
+def released(run: Callable) -> Callable:
+    """run, after which the memory that the worker has freed goes back to the system; workers live on, and allocators keep what they can."""
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc has it
+            trim(0)
+
+    return mapped
+
+
 def row_hash(seed: int, *columns: str) -> Column:
     """64 bits of the values of columns and of which are null."""
     return F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in columns], *[F.col(f"`{c}`").isNull() for c in columns])

@@ -28,8 +28,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import map_rows, pieces
-from leafmill.llm.tokens import Powers, Words, alphanumeric, buffer_of, byte_values, gram_hashes
+from leafmill.llm.common import map_rows, pieces, released
+from leafmill.llm.tokens import Powers, Words, alphanumeric, buffer_of, gram_hashes, word_hashes
 
 N, MIN_WORDS, PHRASE_WORDS, SHARD_BYTES, SAMPLE = 8, 4, 1_000_000, 1 << 22, 8
 NOTED = "__leafmill_spans"
@@ -137,7 +137,8 @@ class Phrases:
 
     def __init__(self, items: list[tuple[int | None, str | None]], n: int, min_words: int) -> None:
         words = Words(*buffer_of(pc.utf8_lower(pa.array([t for _, t in items], type=pa.large_string()))), alphanumeric())
-        hashes, powers = words.hashes(byte_values(), Powers()), Powers()
+        powers = Powers()
+        hashes = word_hashes(words, powers)
         self.vocabulary = np.unique(hashes)
         self.words = (np.searchsorted(self.vocabulary, hashes) + 1).astype(np.int32)
         counts, ids = np.diff(words.first), [i for i, _ in items]
@@ -176,7 +177,7 @@ class Shard:
     """Removal spans of a batch of texts."""
 
     def __init__(self, phrases: Phrases) -> None:
-        self.phrases, self.powers, self.values, self.table = phrases, Powers(), byte_values(), alphanumeric()
+        self.phrases, self.powers, self.table = phrases, Powers(), alphanumeric()
 
     def spans(self, texts: pa.Array) -> tuple[Words, dict[int, list[tuple[int, int, np.ndarray]]]]:
         """The words, and by text the occurrences: first word, word after the last, items; words count from the text's first."""
@@ -184,7 +185,7 @@ class Shard:
         ph, found = self.phrases, {}
         if not ph.by_size or not len(words):
             return words, found
-        hashes = words.hashes(self.values, self.powers)
+        hashes = word_hashes(words, self.powers)
         number = np.searchsorted(ph.vocabulary, hashes)
         number[number == len(ph.vocabulary)] = 0
         known = ph.vocabulary[number] == hashes
@@ -244,7 +245,7 @@ def noting(phrases: Phrases) -> Callable:
                 part = part.set_column(at, part.schema.field(at), pa.array(new, type=NOTES))
             yield part
 
-    return run
+    return released(run)
 
 
 def searched(docs: DataFrame, benchmark: DataFrame, n: int, min_words: int, limit: int) -> tuple[DataFrame, Phrases]:
@@ -280,7 +281,7 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, n: int = N, min_wo
                     names=["doc_id", "start_word", "end_word", "item_id", "n_items"],
                 )
 
-    return noted.mapInArrow(run, "doc_id bigint, start_word bigint, end_word bigint, item_id bigint, n_items int")
+    return noted.mapInArrow(released(run), "doc_id bigint, start_word bigint, end_word bigint, item_id bigint, n_items int")
 
 
 def without_spans(text: str, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> str:
@@ -322,7 +323,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, n: int = N, min_words:
             keep[gone] = False
             yield part.filter(pa.array(keep))
 
-    return map_rows(noted, run).drop(NOTED)
+    return map_rows(noted, released(run)).drop(NOTED)
 
 
 ORACLE_SQL = f"""

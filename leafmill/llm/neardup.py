@@ -32,9 +32,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import cut, one_of_each, pieces, row_key
+from leafmill.llm.common import cut, one_of_each, pieces, released, row_key
 from leafmill.llm.components import components
-from leafmill.llm.tokens import Powers, Words, alphanumeric, buffer_of, byte_values, gram_hashes, mix
+from leafmill.llm.tokens import Powers, Words, alphanumeric, buffer_of, gram_hashes, mix, word_hashes
 
 SHINGLE, PERMUTATIONS, BITS, BANDS, THRESHOLD, SLACK, BLOCK = 3, 128, 4, 32, 0.6, 0.05, 8192
 
@@ -54,7 +54,7 @@ def mix32(x: np.ndarray) -> np.ndarray:
 def shingle_hashes(texts: pa.Array, shingle: int, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
     """The shingles of each text end to end, and the n + 1 bounds; a text of fewer words has one shingle."""
     words = Words(*buffer_of(pc.utf8_lower(texts.cast(pa.large_string()))), alphanumeric())
-    hashes, counts = words.hashes(byte_values(), powers), np.diff(words.first)
+    hashes, counts = word_hashes(words, powers), np.diff(words.first)
     sizes = np.where(counts >= shingle, counts - shingle + 1, np.minimum(counts, 1))
     bounds = np.concatenate([[0], np.cumsum(sizes)])
     at = np.arange(bounds[-1]) + np.repeat(words.first[:-1] - bounds[:-1], sizes)
@@ -154,7 +154,7 @@ def signatures(docs: DataFrame) -> DataFrame:
             )
 
     own = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), row_key("doc_id", "text").alias("row"))
-    return own.mapInArrow(run, "doc_id bigint, row binary, full binary, packed binary, bands array<bigint>")
+    return own.mapInArrow(released(run), "doc_id bigint, row binary, full binary, packed binary, bands array<bigint>")
 
 
 def bucket_edges(threshold: float, slack: float):

@@ -100,6 +100,19 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
+def word_hashes(words: Words, powers: Powers, limit: int = 1 << 18) -> np.ndarray:
+    """The words' hashes, taken for about limit bytes at a time to bound memory; where the bytes are cut changes none."""
+    out, i, values = [np.zeros(0, dtype=np.uint64)], 0, byte_values()
+    while i < len(words):
+        a = words.starts[i]
+        j = max(i + 1, int(np.searchsorted(words.ends, a + limit, side="right")))
+        part = object.__new__(Words)
+        part.data, part.starts, part.ends = words.data[a : words.ends[j - 1]], words.starts[i:j] - a, words.ends[i:j] - a
+        out.append(part.hashes(values, powers))
+        i = j
+    return np.concatenate(out)
+
+
 def gram_hashes(words: np.ndarray, k: int, powers: Powers) -> np.ndarray:
     """The hash of each run of k words, by its first word; runs may cross texts, callers leave those out."""
     n = len(words) - k + 1

@@ -36,9 +36,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import map_rows, pieces
+from leafmill.llm.common import map_rows, pieces, released
 from leafmill.llm.neardup import minima, shingle_hashes
-from leafmill.llm.tokens import Powers, Words, alphanumeric, buffer_of, byte_values
+from leafmill.llm.tokens import Powers, Words, alphanumeric, buffer_of, word_hashes
 
 SAMPLE, SAMPLE_CHARS, WINDOW, STRIDE, HIDDEN, WORD, CHAR, MIN_TEXTS, THRESHOLD = 4000, 24_000_000, 48, 8, 8, 8, 8, 5, 0.5
 GRAMS, BUCKET_BITS = (3, 5, 7), 14
@@ -71,19 +71,6 @@ def summed(rows: np.ndarray, to: np.ndarray, size: int) -> np.ndarray:
     return np.stack([np.bincount(to, weights=column, minlength=size + 1)[:size] for column in np.ascontiguousarray(rows.T)], axis=1).astype(np.float32)
 
 
-def word_hashes(words: Words, powers: Powers, limit: int = 1 << 20) -> np.ndarray:
-    """The words' hashes, taken for about limit bytes at a time to bound memory."""
-    out, i = [np.zeros(0, dtype=np.uint64)], 0
-    while i < len(words):
-        a = words.starts[i]
-        j = max(i + 1, int(np.searchsorted(words.ends, a + limit, side="right")))
-        part = object.__new__(Words)
-        part.data, part.starts, part.ends = words.data[a : words.ends[j - 1]], words.starts[i:j] - a, words.ends[i:j] - a
-        out.append(part.hashes(byte_values(), powers))
-        i = j
-    return np.concatenate(out)
-
-
 class Encoded:
     """Distinct words of a batch of texts and the texts' windows as rows of word numbers (-1 pads)."""
 
@@ -399,7 +386,7 @@ def window_scorer(net: Network | None, out: Callable) -> Callable:
             scores = net.scores(e) if net else np.zeros(len(e.text), dtype=np.float32)
             yield out(part, e, scores)
 
-    return run
+    return released(run)
 
 
 def toxic_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
