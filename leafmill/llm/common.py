@@ -9,6 +9,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -71,6 +72,18 @@ def released(run: Callable) -> Callable:
     return mapped
 
 
+@contextmanager
+def small_batches(spark: SparkSession, limit: int = 1 << 22) -> Iterator[None]:
+    """What is computed inside goes to the workers in Arrow batches of about limit bytes, or one row; a task's JVM and its worker hold several of them at once."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def row_hash(seed: int, *columns: str) -> Column:
     """64 bits of the values of columns and of which are null."""
     return F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in columns], *[F.col(f"`{c}`").isNull() for c in columns])

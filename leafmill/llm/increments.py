@@ -29,19 +29,20 @@ nothing. An empty batch changes nothing. Other columns are ignored.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import cut, pieces, remove_path, row_hash, shared_path
+from leafmill.llm.common import cut, pieces, released, remove_path, row_hash, shared_path, small_batches
 from leafmill.llm.suffixes import merged_spans
-from leafmill.llm.tokens import Powers, Words, buffer_of, byte_values, gram_hashes, mix, not_space, winnow
+from leafmill.llm.tokens import Powers, Words, buffer_of, gram_hashes, mix, not_space, winnow, word_hashes
 
 K, GAP, FAN, BATCHES, SHARE = 20, 21, 3, 4, 4096
 WORDS = K + GAP - 1
+PIECE = 1 << 19  # bytes of text that a worker takes at a time
 
 PLACE = "struct<batch int, no_id boolean, doc_id bigint, row bigint, pos int, context bigint, before int, more int>"
 
@@ -67,14 +68,14 @@ def window_hashes(rows: DataFrame, k: int = K, gap: int = GAP) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, values, table = Powers(), byte_values(), not_space()
-        for part in pieces(batches, "text"):
+        powers, table = Powers(), not_space()
+        for part in pieces(batches, "text", PIECE):
             w = Words(*buffer_of(part.column("text")), table)
             counts = np.diff(w.first)
             long = np.flatnonzero(counts >= k + gap - 1)
             if not len(long):
                 continue
-            hashes = w.hashes(values, powers)
+            hashes = word_hashes(w, powers)
             grams = gram_hashes(hashes, k, powers)
             sizes = counts[long] - k + 1
             bounds = np.concatenate([[0], np.cumsum(sizes)])
@@ -88,7 +89,7 @@ def window_hashes(rows: DataFrame, k: int = K, gap: int = GAP) -> DataFrame:
                 names=["hash", "doc_id", "row", "pos", "context", "before", "more"],
             )
 
-    return rows.mapInArrow(run, "hash bigint, doc_id bigint, row bigint, pos int, context bigint, before int, more int")
+    return rows.mapInArrow(released(run), "hash bigint, doc_id bigint, row bigint, pos int, context bigint, before int, more int")
 
 
 class Run:
@@ -168,10 +169,10 @@ def whole_runs(rows: DataFrame, words: int) -> DataFrame:
     """(full, place): the hash of each run of words words that the listed windows stand for, and where it is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, values, table = Powers(), byte_values(), not_space()
-        for part in pieces(batches, "text"):
+        powers, table = Powers(), not_space()
+        for part in pieces(batches, "text", PIECE):
             w = Words(*buffer_of(part.column("text")), table)
-            full = gram_hashes(w.hashes(values, powers), words, powers)
+            full = gram_hashes(word_hashes(w, powers), words, powers)
             listed = part.column("listed")
             flat, sizes = listed.flatten(), listed.value_lengths().to_numpy(zero_copy_only=False)
             batch, pos, before, more = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4))
@@ -185,7 +186,7 @@ def whole_runs(rows: DataFrame, words: int) -> DataFrame:
                     [pa.array(hashes[s]), pa.array(batch[each[s]].astype(np.int32)), part.column("doc_id").take(of), part.column("row").take(of), pa.array(start[s].astype(np.int32))], names=["full", "batch", "doc_id", "row", "start"]
                 )
 
-    found = rows.select("doc_id", "row", "text", "listed").mapInArrow(run, "full bigint, batch int, doc_id bigint, row bigint, start int")
+    found = rows.select("doc_id", "row", "text", "listed").mapInArrow(released(run), "full bigint, batch int, doc_id bigint, row bigint, start int")
     return found.select("full", F.struct("batch", F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "start").alias("place"))
 
 
@@ -203,18 +204,26 @@ def ranges(rows: DataFrame, words: int) -> DataFrame:
     """(first_row, share, kind, doc_id, row, start, first_start, first_doc_id, text): the words about each listed range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in pieces(batches, "text"):
-            out = []
-            for doc_id, row, text, listed in zip(*(part.column(c).to_pylist() for c in ("doc_id", "row", "text", "listed"))):
-                own = text.encode("utf-8", "surrogatepass").split()
-                for r in listed:
-                    start = max(0, r["lo"] - words, r["lo"] - r["first_lo"])
-                    out.append((r["first_row"], r["share"], 1, doc_id, row, start, start - r["lo"] + r["first_lo"], r["first_doc_id"], b" ".join(own[start : r["hi"] + words])))
-            for i in range(0, len(out), 2048):
-                columns = [pa.array(c, t) for c, t in zip(zip(*out[i : i + 2048]), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["first_row", "share", "kind", "doc_id", "row", "start", "first_start", "first_doc_id", "text"])
-
-    return rows.mapInArrow(run, "first_row bigint, share bigint, kind int, doc_id bigint, row bigint, start int, first_start int, first_doc_id bigint, text binary")
+        for part in pieces(batches, "text", PIECE):
+            listed = part.column("listed")
+            flat, ends = listed.flatten(), np.cumsum(listed.value_lengths().to_numpy(zero_copy_only=False))
+            lo, hi, first_lo = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("lo", "hi", "first_lo"))
+            start = np.maximum(np.maximum(lo - words, lo - first_lo), 0)
+            of, texts, size, at = np.searchsorted(ends, np.arange(len(flat)), side="right"), [], 0, None
+            for i, t in enumerate(of.tolist()):
+                if t != at:
+                    at, own = t, part.column("text")[t].as_py().encode("utf-8", "surrogatepass").split()
+                texts.append(b" ".join(own[start[i] : hi[i] + words]))
+                size += len(texts[-1])
+                if size >= PIECE or len(texts) == 2048 or i + 1 == len(flat):
+                    s, x = slice(i + 1 - len(texts), i + 1), pa.array(of[i + 1 - len(texts) : i + 1])
+                    yield pa.RecordBatch.from_arrays(
+                        [flat.field("first_row")[s], flat.field("share")[s], pa.array(np.ones(len(x), dtype=np.int32)), part.column("doc_id").take(x), part.column("row").take(x), pa.array(start[s].astype(np.int32)), pa.array((start - lo + first_lo)[s].astype(np.int32)), flat.field("first_doc_id")[s], pa.array(texts, pa.binary())],
+                        names=["first_row", "share", "kind", "doc_id", "row", "start", "first_start", "first_doc_id", "text"],
+                    )
+                    texts, size = [], 0
+
+    return rows.mapInArrow(released(run), "first_row bigint, share bigint, kind int, doc_id bigint, row bigint, start int, first_start int, first_doc_id bigint, text binary")
 
 
 def equal_runs(a: list[bytes], b: list[bytes], least: int) -> list[tuple[int, int]]:
@@ -225,24 +234,12 @@ def equal_runs(a: list[bytes], b: list[bytes], least: int) -> list[tuple[int, in
     return [(int(x), int(y)) for x, y in zip(edge[::2], edge[1::2]) if y - x >= least]
 
 
-def verified(candidates: DataFrame, docs: DataFrame, k: int = K, gap: int = GAP) -> DataFrame:
-    """(doc_id, row, start_word, end_word, first_doc_id): spans of k + gap - 1 words or more that are equal word for word."""
-    words = k + gap - 1
-    own = rows_of(docs)
-    one = candidates.groupBy("row", "doc_id", "first_row", "first_doc_id", (F.col("pos") - F.col("first_pos")).alias("off")).agg(F.min("pos").alias("lo"), (F.max("pos") + k).alias("hi"))
-    many = cut(one)
-    pointed = many.groupBy("first_row").agg(F.ceil(F.count("*") / SHARE).cast("bigint").alias("shares"))
-    shared = many.join(pointed, "first_row").withColumn("share", F.pmod(F.xxhash64("row", "off"), F.col("shares")))
-    lists = shared.groupBy("row").agg(F.collect_list(F.struct("first_row", "share", "first_doc_id", "lo", "hi", (F.col("lo") - F.col("off")).alias("first_lo"))).alias("listed"))
-    left = ranges(own.join(lists, "row"), words)
-    sources = own.join(pointed, own["row"] == pointed["first_row"]).select(
-        "first_row", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)).alias("share"), F.lit(0).alias("kind"), "doc_id", "row", F.lit(0).alias("start"), F.lit(0).alias("first_start"), F.lit(None).cast("bigint").alias("first_doc_id"), F.col("text").cast("binary").alias("text")
-    )
+def compared(words: int) -> Callable:
+    """A map of partitions sorted so that each earlier text comes before the ranges that point at it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Partitions sorted so that each earlier text comes before the ranges that point at it."""
         at, earlier = None, []
-        for batch in batches:
+        for batch in pieces(batches, "text", PIECE):
             out = []
             for first_row, share, kind, doc_id, row, start, first_start, first_doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if not kind:
@@ -257,16 +254,39 @@ def verified(candidates: DataFrame, docs: DataFrame, k: int = K, gap: int = GAP)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()))], names=["doc_id", "row", "start_word", "end_word", "first_doc_id"])
 
+    return run
+
+
+def verified(candidates: DataFrame, docs: DataFrame, k: int = K, gap: int = GAP) -> DataFrame:
+    """(doc_id, row, start_word, end_word, first_doc_id): spans of k + gap - 1 words or more that are equal word for word."""
+    words = k + gap - 1
+    own = rows_of(docs)
+    one = candidates.groupBy("row", "doc_id", "first_row", "first_doc_id", (F.col("pos") - F.col("first_pos")).alias("off")).agg(F.min("pos").alias("lo"), (F.max("pos") + k).alias("hi"))
+    many = cut(one)
+    pointed = many.groupBy("first_row").agg(F.ceil(F.count("*") / SHARE).cast("bigint").alias("shares"))
+    shared = many.join(pointed, "first_row").withColumn("share", F.pmod(F.xxhash64("row", "off"), F.col("shares")))
+    lists = shared.groupBy("row").agg(F.collect_list(F.struct("first_row", "share", "first_doc_id", "lo", "hi", (F.col("lo") - F.col("off")).alias("first_lo"))).alias("listed"))
+    left = ranges(own.join(lists, "row"), words)
+    sources = own.join(pointed, own["row"] == pointed["first_row"]).select(
+        "first_row", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)).alias("share"), F.lit(0).alias("kind"), "doc_id", "row", F.lit(0).alias("start"), F.lit(0).alias("first_start"), F.lit(None).cast("bigint").alias("first_doc_id"), F.col("text").cast("binary").alias("text")
+    )
     both = left.unionByName(sources).repartition("first_row", "share").sortWithinPartitions("first_row", "share", "kind")
-    return both.select("first_row", "share", "kind", "doc_id", "row", "start", "first_start", "first_doc_id", "text").mapInArrow(run, "doc_id bigint, row bigint, start_word int, end_word int, first_doc_id bigint")
+    return both.select("first_row", "share", "kind", "doc_id", "row", "start", "first_start", "first_doc_id", "text").mapInArrow(released(compared(words)), "doc_id bigint, row bigint, start_word int, end_word int, first_doc_id bigint")
 
 
 def incremental_spans(docs: DataFrame, batches: int = BATCHES, k: int = K, gap: int = GAP, fan: int = FAN) -> DataFrame:
     """(doc_id, start_word, end_word, first_doc_id): spans to remove when docs come in batches, by a hash of their doc_id.
 
     The texts are hashed once; all batches' candidates are verified together at the end, which
-    gives the same spans since a batch's verification has no effect on the runs.
+    gives the same spans since a batch's verification has no effect on the runs. The spans are
+    computed at once, while the Arrow batches are small.
     """
+    with small_batches(docs.sparkSession):
+        return cut(spans_of_batches(docs, batches, k, gap, fan))
+
+
+def spans_of_batches(docs: DataFrame, batches: int, k: int, gap: int, fan: int) -> DataFrame:
+    """The rows of incremental_spans(), whose last joins have not run yet."""
     spark = docs.sparkSession
     path, stored = shared_path(spark, "windows"), "hash bigint, doc_id bigint, row bigint, pos int, context bigint, before int, more int, batch int"
     window_hashes(rows_of(docs), k, gap).withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")).write.partitionBy("batch").parquet(path)
