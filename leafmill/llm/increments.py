@@ -93,15 +93,18 @@ def window_hashes(rows: DataFrame, k: int = K, gap: int = GAP) -> DataFrame:
 
 
 class Run:
-    """An immutable sorted run: files in the shared folder, known to the session as a bucketed table."""
+    """An immutable sorted run: files in the shared folder, known to the session as a bucketed table. firsts comes partitioned by hash, a task a bucket; the rows that are not fresh are in earlier runs and serve their own batch only."""
 
     def __init__(self, spark: SparkSession, firsts: DataFrame, level: int, buckets: int) -> None:
         self.spark, self.level = spark, level
         self.path, self.name = shared_path(spark, "run"), f"leafmill_run_{uuid.uuid4().hex}"
-        firsts.repartition(buckets, "hash").write.bucketBy(buckets, "hash").sortBy("hash").option("path", self.path).saveAsTable(self.name)
+        firsts.write.bucketBy(buckets, "hash").sortBy("hash").option("path", self.path).saveAsTable(self.name)
 
     def read(self) -> DataFrame:
-        return self.spark.table(self.name)
+        return self.spark.table(self.name).where("fresh").select("hash", "first")
+
+    def met(self) -> DataFrame:
+        return self.spark.table(self.name).where("met").select("hash", "first")
 
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
@@ -124,19 +127,19 @@ class Index:
         old = []
         self.spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")  # runs come sorted
         try:
-            for i, run in enumerate(self.runs):
-                new = new.join(run.read().select("hash", F.col("first").alias(f"first{i}")).hint("merge"), "hash", "left")
+            for i, r in enumerate(self.runs):
+                new = new.join(r.read().select("hash", F.col("first").alias(f"first{i}")).hint("merge"), "hash", "left")
                 old.append(F.col(f"first{i}"))
-            known = cut(new.select("hash", "own", "n", (F.coalesce(*old) if old else F.lit(None).cast(PLACE)).alias("old")))
+            known = F.coalesce(*old) if old else F.lit(None).cast(PLACE)
+            run = Run(self.spark, new.select("hash", F.coalesce(known, "own").alias("first"), known.isNull().alias("fresh"), ((F.col("n") > 1) | known.isNotNull()).alias("met")), 0, self.buckets)
         finally:
             self.spark.conf.unset("spark.sql.legacy.bucketedTableScan.outputOrdering")
-        met = known.where("n > 1 or old is not null").select("hash", F.coalesce("old", "own").alias("first"))
         found = cut(
-            hashes.join(met, "hash")
+            hashes.join(run.met(), "hash")
             .where(~((F.col("row") == F.col("first.row")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("pos") == F.col("first.pos"))))
             .select(place.alias("own"), "first", (F.col("context") == F.col("first.context")).alias("alike"))
         )
-        self.runs.append(Run(self.spark, known.where("old is null").select("hash", F.col("own").alias("first")), 0, self.buckets))
+        self.runs.append(run)
         self.compact()
         return found
 
@@ -149,7 +152,7 @@ class Index:
                 both = own[0].read()
                 for r in own[1:]:
                     both = both.unionByName(r.read())
-                self.runs = [r for r in self.runs if r.level != level] + [Run(self.spark, both, level + 1, self.buckets)]
+                self.runs = [r for r in self.runs if r.level != level] + [Run(self.spark, both.withColumns({"fresh": F.lit(True), "met": F.lit(False)}).repartition(self.buckets, "hash"), level + 1, self.buckets)]
                 for r in own:
                     r.drop()
             level += 1
