@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections.abc import Iterator
+from functools import reduce
+from itertools import groupby
+from operator import itemgetter
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from leafmill.config import DEFAULT, Config
+from leafmill.functions import grids
 from leafmill.functions.geometry import union_polygon
 from leafmill.functions.text import SPACE, all_of, checkbox_text, last_sentences, percent, row_text, strip, table_chunk_id
 
@@ -117,12 +128,18 @@ def nearest_before(left: DataFrame, right: DataFrame, keys: list[str], at: str,
     return both.withColumn("c", F.max("c").over(w)).where("row__ is not null").select("row__.*", F.coalesce(F.col("c.v"), F.lit("")).alias("found"))
 
 
+def lead_in_candidates(paragraphs: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """(doc_id, page, start, ord, value): where each paragraph of the body ends, on each of its pages, and its last two sentences."""
+    last = F.element_at(F.when(F.size("spans") > 0, F.col("spans")), -1)
+    own = paragraphs.where(~F.col("role").isin(*config.noise_roles) & (F.size("spans") > 0)).withColumn("value", last_sentences(F.col("content"), 2, config.lead_in_min_chars))
+    return own.select("doc_id", F.explode(F.array_distinct(F.transform("regions", lambda r: r["page_number"]))).alias("page"), (last["offset"] + last["length"]).alias("start"), "ord", "value")
+
+
 def lead_ins(tables: DataFrame, paragraphs: DataFrame, config: Config = DEFAULT) -> DataFrame:
     """(doc_id, table_index, lead_in): the last two sentences of the nearest earlier paragraph of the page that has any."""
-    last = F.element_at(F.when(F.size("spans") > 0, F.col("spans")), -1)
-    own = paragraphs.where(~F.col("role").isin(*config.noise_roles) & (F.size("spans") > 0)).select("doc_id", "ord", "content", (last["offset"] + last["length"]).alias("start"), F.explode(F.array_distinct(F.transform("regions", lambda r: r["page_number"]))).alias("page"))
     far = tables.select("doc_id", "table_index", "page", F.coalesce(F.col("start").cast("bigint"), F.lit(1 << 62)).alias("start"))
-    return nearest_before(far, own, ["doc_id", "page"], "start", last_sentences(F.col("content"), 2, config.lead_in_min_chars), "ord").select("doc_id", "table_index", F.col("found").alias("lead_in"))
+    own = lead_in_candidates(paragraphs, config)
+    return nearest_before(far, own, ["doc_id", "page"], "start", F.col("value"), "ord").select("doc_id", "table_index", F.col("found").alias("lead_in"))
 
 
 def choose_reader(t: DataFrame, config: Config = DEFAULT) -> DataFrame:
@@ -185,26 +202,6 @@ def layout_row_chunks(layout_tables: DataFrame, cells: DataFrame, paragraphs: Da
     return row_chunks(rows.join(told, TABLE).withColumn("source", F.lit("layout")).withColumn("source_file", source_file))
 
 
-def read_choice(told: DataFrame, rows: DataFrame, second: DataFrame, markdown: DataFrame, confidence: DataFrame, config: Config = DEFAULT) -> DataFrame:
-    """told with the reader of each table, its flags and the second reader's last header row.
-
-    rows: body_rows(); second: pipe_tables() by doc_id and page; confidence: table_confidence().
-    Tables of the two readers meet by their place on the page.
-    """
-    page, place = ["doc_id", "page"], ["doc_id", "page", "local_index"]
-    read = markdown.where("markdown <> ''").select(*page, F.lit(True).alias("has_markdown")).distinct()
-    last = F.max_by(F.when(F.col("is_header"), F.col("cells")), F.when(F.col("is_header"), F.col("row")))
-    theirs = second.groupBy(*place).agg(F.count_if(~F.col("is_header")).alias("ocr_rows"), last.alias("ocr_headers"))
-    pages = theirs.groupBy(*page).agg(F.count("*").alias("page_ocr_tables"))
-    ours = rows.groupBy(*TABLE).agg(F.count("*").alias("layout_rows"))
-    rotated = F.exists("complexity_reasons", lambda r: F.contains(r, F.lit("rotated")))
-    sure = confidence.select(*place, "min_cell_confidence", rotated.alias("rotated"))
-    both = told.join(read, page, "left").join(pages, page, "left").join(theirs, place, "left").join(ours, TABLE, "left").join(sure, place, "left")
-    zero = {c: F.coalesce(c, F.lit(0)) for c in ("page_ocr_tables", "layout_rows")} | {c: F.coalesce(c, F.lit(False)) for c in ("has_markdown", "rotated")}
-    both = both.withColumns({**zero, "has_ocr_table": F.col("ocr_rows").isNotNull(), "ocr_rows": F.coalesce("ocr_rows", F.lit(0))})
-    return choose_reader(both, config)
-
-
 def second_reader_rows(chosen: DataFrame, second: DataFrame, rows: DataFrame, grid: DataFrame) -> DataFrame:
     """(doc_id, table_index, row, cells, polygons) of the tables that the second reader gives, filled to the right and down.
 
@@ -226,22 +223,125 @@ def second_reader_rows(chosen: DataFrame, second: DataFrame, rows: DataFrame, gr
     return done.join(rows.select(*TABLE, "nth", "polygons"), [*TABLE, "nth"], "left").select(*TABLE, "row", "cells", F.coalesce("polygons", F.array().cast("array<array<double>>")).alias("polygons"))
 
 
+_ROWS = "rows: array<struct<row: int, cells: array<string>, polygons: array<array<double>>>>, blanks: bigint, n: bigint"
+_READ = f"table_index int, page int, local_index int, caption string, headers array<string>, first_row array<string>, lead_in string, max_header_row int, has_markdown boolean, page_ocr_tables int, has_ocr_table boolean, ocr_rows int, ocr_headers array<string>, layout_rows int, min_cell_confidence double, rotated boolean, layout struct<{_ROWS}>, ocr struct<{_ROWS}>"
+_PART = "part int, doc_id {}, table_index int, page int, local_index int, cell int, head boolean, row int, col int, row_span int, column_span int, column_count int, at bigint, text string, polygon array<double>, confidence double, rotated boolean"
+_TABLE, _CELL, _MARKDOWN, _CONFIDENCE, _LEAD = range(5)
+
+
+def _plain(column: pa.Array) -> list:
+    """The values as Python's; numbers and strings without a step for each."""
+    if pa.types.is_list(column.type):
+        if not len(column.flatten()):
+            return [None if x else [] for x in column.is_null().to_pylist()]
+        return column.to_pylist()
+    if column.null_count == len(column):
+        return [None] * len(column)
+    if column.null_count and (pa.types.is_integer(column.type) or pa.types.is_floating(column.type)):
+        out = column.fill_null(0).to_numpy(zero_copy_only=False).tolist()
+        for i in np.flatnonzero(column.is_null().to_numpy(zero_copy_only=False)).tolist():
+            out[i] = None
+        return out
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def _read_document(doc: object, parts: list[tuple]) -> Iterator[dict]:
+    """One row of doc_id and _READ for each table of a document; parts: rows of _PART without part and doc_id."""
+    own, cells, markdown, sure, leads = [], {}, {}, {}, {}
+    for part, _, table_index, page, local_index, cell, head, row, col, row_span, column_span, column_count, at, text, polygon, confidence, rotated in parts:
+        if part == _CELL:
+            cells.setdefault(table_index, []).append(grids.Cell(cell, bool(head), row, col, row_span, column_span, column_count, text, polygon))
+        elif part == _TABLE:
+            own.append((table_index, page, local_index, text, at))
+        elif part == _MARKDOWN:
+            markdown.setdefault(page, []).append(text)
+        elif part == _CONFIDENCE:
+            sure[page, local_index] = (confidence, bool(rotated))
+        else:
+            leads.setdefault(page, []).append(((at is not None, at), (cell is not None, -(cell or 0)), text))
+    pages = {page: [t for text in texts for t in grids.pipe_tables(text)] for page, texts in markdown.items() if page is not None}
+    for found in leads.values():
+        found.sort()
+    for table_index, page, local_index, caption, start in own:
+        here, second = cells.get(table_index, []), pages.get(page, [])
+        met = local_index is not None and 0 <= local_index < len(second)
+        heads, theirs = second[local_index] if met else ([], [])
+        confidence, rotated = sure.get((page, local_index), (None, False)) if page is not None and local_index is not None else (None, False)
+        before = leads.get(page, [])
+        nearest = bisect_left(before, ((True, start),)) - 1
+        columns = max((c.column_count for c in here if c.column_count is not None), default=0)
+        body = [c for c in here if not c.head]
+        rows = grids.body_rows(body)
+        height = max((r + 1 for r, _ in rows if r is not None), default=0) if columns > 0 else 0
+        texts, spanned = grids.grid(body, max(0, height), columns)
+        filled = grids.fill_label_runs(texts)
+        laid = [(r, filled[r], polygons) for r, polygons in rows if r is not None and 0 <= r < len(filled)]
+        read = grids.second_rows(theirs, rows, texts, spanned)
+        sized = [{"rows": [{"row": r, "cells": c, "polygons": p} for r, c, p in x], "blanks": sum(not v.strip() for _, c, _ in x for v in c), "n": sum(len(c) for _, c, _ in x)} for x in (laid, read)]
+        yield {
+            "doc_id": doc, "table_index": table_index, "page": page, "local_index": local_index, "caption": caption, "headers": grids.headers(here, columns), "first_row": grids.first_row(here), "lead_in": before[nearest][2] if nearest >= 0 else "",
+            "max_header_row": max((c.row for c in here if c.head and c.row is not None), default=0), "has_markdown": page in pages, "page_ocr_tables": len(second), "has_ocr_table": met, "ocr_rows": len(theirs), "ocr_headers": heads[-1] if heads else None,
+            "layout_rows": len(rows), "min_cell_confidence": confidence, "rotated": rotated, "layout": sized[0], "ocr": sized[1],
+        }
+
+
+def both_readings(layout_tables: DataFrame, cells: DataFrame, paragraphs: DataFrame, confidence: DataFrame, markdown: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """One row a table with what choose_reader() asks for and its rows by either reader; tables of the two meet by their place on the page.
+
+    All parts of a document come together in one shuffle and are read there, a document at a
+    time; no other shuffle or sort is needed, and a task holds one document.
+    """
+    kind = layout_tables.schema["doc_id"].dataType
+    columns = [c.split() for c in _PART.format(kind.simpleString()).split(", ")]
+
+    def part(df: DataFrame, number: int, **given: Column | str) -> DataFrame:
+        given |= {"part": F.lit(number)} | ({} if number == _TABLE else {"doc_id": "doc_id"})
+        blank = lambda t: F.array() if t.startswith("array") else F.lit("") if t == "string" else F.lit(False) if t == "boolean" else F.lit(0)  # noqa: E731  never read, and cheaper than nulls
+        return df.select(*[(F.col(v) if isinstance(v := given.get(n, blank(t)), str) else v).cast(t).alias(n) for n, t in columns])
+
+    parts = [
+        part(layout_tables, _TABLE, doc_id="doc_id", table_index="table_index", page="page", local_index="local_index", text="caption", at=F.coalesce(F.col("start").cast("bigint"), F.lit(1 << 62))),
+        part(cells, _CELL, table_index="table_index", cell="cell", head=F.col("kind").eqNullSafe("columnHeader"), row="row", col="col", row_span="row_span", column_span="column_span", column_count="column_count", text="content", polygon="polygon"),
+        part(markdown.where("markdown <> ''"), _MARKDOWN, page="page", text="markdown"),
+        part(confidence, _CONFIDENCE, page="page", local_index="local_index", confidence="min_cell_confidence", rotated=F.exists("complexity_reasons", lambda r: F.contains(r, F.lit("rotated")))),
+        part(lead_in_candidates(paragraphs, config).where("value <> ''"), _LEAD, page="page", at="start", cell="ord", text="value"),
+    ]
+    out = f"doc_id {kind.simpleString()}, {_READ}"
+    schema = to_arrow_schema(StructType.fromDDL(out))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        doc, held, done, size = None, [], [], 0
+        for batch in batches:
+            values = zip(*[_plain(c) for c in batch.columns], strict=True)
+            for of, rows in groupby(values, key=itemgetter(1)):
+                if held and of != doc:
+                    done.extend(_read_document(doc, held))
+                    size, held = size + len(held), []
+                    if size >= 20_000:
+                        yield pa.RecordBatch.from_pylist(done, schema)
+                        done, size = [], 0
+                doc = of
+                held.extend(rows)
+        if held:
+            done.extend(_read_document(doc, held))
+        yield pa.RecordBatch.from_pylist(done, schema)
+
+    return reduce(DataFrame.union, parts).repartition("doc_id").sortWithinPartitions("doc_id").mapInArrow(run, out)
+
+
 def table_path(layout_tables: DataFrame, cells: DataFrame, paragraphs: DataFrame, confidence: DataFrame, markdown: DataFrame, source_file: Column, config: Config = DEFAULT) -> tuple[DataFrame, DataFrame]:
     """(chunks, report) of the tables read by either reader.
 
     chunks as row_chunks(); report: (doc_id, page, table_index, local_index, caption, source,
     flag_types, empty_ratio, flagged), one row a table, image artifacts included.
     """
-    told, rows, grid = described_tables(layout_tables, cells, paragraphs, config), body_rows(cells), body_grid(cells)
-    second = pipe_tables(markdown.where("markdown <> ''"), ["doc_id", "page"])
-    chosen = read_choice(told, rows, second, markdown, confidence, config)
-    first = by_row(fill_label_runs(grid), "text").join(rows, [*TABLE, "row"]).join(chosen.where("source = 'layout'").select(*TABLE), TABLE, "left_semi")
-    every = first.select(*TABLE, "row", "cells", "polygons").unionByName(second_reader_rows(chosen, second, rows, grid))
+    chosen = choose_reader(both_readings(layout_tables, cells, paragraphs, confidence, markdown, config), config)
+    chosen = chosen.withColumn("read", F.when(F.col("source") == "ocr", F.col("ocr")).when(F.col("source") == "layout", F.col("layout")))
     headers = F.when((F.col("source") == "ocr") & F.col("ocr_headers").isNotNull(), F.col("ocr_headers")).otherwise(F.col("headers"))
-    full = every.join(chosen.select(*TABLE, "page", "source", headers.alias("headers"), "label", "lead_in"), TABLE).withColumn("source_file", source_file)
-    blanks = every.groupBy(*TABLE).agg(F.sum(F.size(F.filter("cells", lambda v: strip(v) == ""))).alias("blanks"), F.sum(F.size("cells")).alias("n"))
-    ratio = F.coalesce(F.col("blanks") / F.greatest("n", F.lit(1)), F.lit(0.0))
-    report = chosen.join(blanks, TABLE, "left").withColumn("empty_ratio", F.when(F.col("source") == "none", 0.0).otherwise(ratio))
+    label = table_label(F.col("caption"), F.col("headers"), F.col("first_row"))
+    full = chosen.select(*TABLE, "page", "source", headers.alias("headers"), label.alias("label"), "lead_in", F.explode("read.rows").alias("r")).select("*", "r.row", "r.cells", "r.polygons").drop("r").withColumn("source_file", source_file)
+    ratio = F.coalesce(F.col("read.blanks") / F.greatest("read.n", F.lit(1)), F.lit(0.0))
+    report = chosen.withColumn("empty_ratio", F.when(F.col("source") == "none", 0.0).otherwise(ratio))
     flags = F.concat("flag_types", F.when(F.col("empty_ratio") > config.empty_ratio, F.array(F.lit("high_empty_ratio"))).otherwise(F.array().cast("array<string>")))
     report = report.withColumn("flag_types", flags).withColumn("flagged", F.size("flag_types") > 0)
     return row_chunks(full), report.select("doc_id", "page", "table_index", "local_index", "caption", "source", "flag_types", "empty_ratio", "flagged")
