@@ -11,14 +11,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.functions.text import base_name
+from leafmill.llm.common import released
 
 BLOCK, QUERIES, DOCS = 2048, 2048, 1024
-
-
-def _blocks(df: DataFrame, prefix: str, id_col: str, vector: str, block: int) -> DataFrame:
-    n = max(1, -(-df.count() // block))
-    own = df.where(f"`{vector}` is not null").select(F.col(id_col).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.pmod(F.xxhash64(id_col), F.lit(n)).alias("b"))
-    return own.repartition(min(n, 512), "b").groupBy("b").agg(F.collect_list("id").alias(f"{prefix}_ids"), F.flatten(F.collect_list("v")).alias(f"{prefix}_values")).drop("b")
+#: Bytes of the vectors of a group of queries, and the least number of tasks of an exact search over a large base.
+GROUP, TASKS = 1 << 24, 48
 
 
 def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -39,31 +36,130 @@ def cosines(q: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.round(np.divide(q @ b.T, norms, out=np.zeros(norms.shape), where=norms > 0), 6)
 
 
-def top_pairs(qi: np.ndarray, q: np.ndarray, bi: np.ndarray, b: np.ndarray, k: int, skip_self: bool) -> pa.RecordBatch:
+def top_places(qi: np.ndarray, q: np.ndarray, bi: np.ndarray, b: np.ndarray, k: int, skip_self: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row and column numbers and scores of the k best rows of b for each of q."""
     s = cosines(q, b)
     if skip_self:
         s[qi[:, None] == bi[None, :]] = -np.inf
     row, col = best_of(s, bi, k)
-    return pa.RecordBatch.from_arrays([pa.array(qi[row]), pa.array(bi[col]), pa.array(s[row, col])], names=["query_id", "id", "score"])
+    return row, col, s[row, col]
+
+
+def top_pairs(qi: np.ndarray, q: np.ndarray, bi: np.ndarray, b: np.ndarray, k: int, skip_self: bool) -> pa.RecordBatch:
+    row, col, score = top_places(qi, q, bi, b, k, skip_self)
+    return pa.RecordBatch.from_arrays([pa.array(qi[row]), pa.array(bi[col]), pa.array(score)], names=["query_id", "id", "score"])
+
+
+def exact_pairs(q: np.ndarray, b: np.ndarray, row: np.ndarray, col: np.ndarray, at_once: int = 1 << 22) -> np.ndarray:
+    """cosines() of the pairs (row, col) alone, about at_once numbers at a time."""
+    out, step = np.zeros(len(row)), max(1, at_once // max(1, q.shape[1]))
+    for i in range(0, len(row), step):
+        x, y = q[row[i : i + step]], b[col[i : i + step]]
+        norms = np.linalg.norm(x, axis=1) * np.linalg.norm(y, axis=1)
+        np.divide(np.einsum("ij,ij->i", x, y), norms, out=out[i : i + step], where=norms > 0)
+    return np.round(out, 6)
+
+
+class Nearest:
+    """The k best rows so far of each of a few queries, exact; the base comes a slice at a time.
+
+    A product in single precision rules out what can't be among the k best: its error and the
+    rounding to six places are less than margin, so nothing that counts is lost. The pairs that
+    are left, few once the first slice is in, are scored in double precision.
+    """
+
+    def __init__(self, ids: np.ndarray, q: np.ndarray, k: int, skip_self: bool):
+        self.ids, self.q, self.k, self.skip_self = ids, q, k, skip_self
+        self.short = unit(q).astype(np.float32)
+        self.margin = 2.5e-7 * (q.shape[1] + 8) + 3e-6
+        self.floor = np.full(len(q), -np.inf, dtype=np.float32)
+        self.row, self.id, self.score = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
+
+    def add(self, ids: np.ndarray, b: np.ndarray, short: np.ndarray) -> None:
+        s = self.short @ short.T
+        floor = self.floor
+        if (new := np.isneginf(floor)).any() and len(ids) > self.k:
+            t = s[new]
+            if self.skip_self:
+                t[self.ids[new][:, None] == ids[None, :]] = -np.inf
+            floor = floor.copy()
+            floor[new] = np.partition(t, len(ids) - self.k, axis=1)[:, len(ids) - self.k] - self.margin
+        left = s >= floor[:, None]
+        many, most = np.zeros(0, dtype=np.int64), 4 * self.k + 64
+        if np.count_nonzero(left) > most * len(left):  # ties and near ties: a few rows at a time
+            many = np.flatnonzero(left.sum(axis=1) > most)
+        parts = []
+        for i in range(0, len(many), 64):
+            rows = many[i : i + 64]
+            row, col, score = top_places(self.ids[rows], self.q[rows], ids, b, self.k, self.skip_self)
+            parts.append((rows[row], ids[col], score))
+        left[many] = False
+        row, col = np.divmod(np.flatnonzero(left), len(ids))
+        if self.skip_self:
+            other = self.ids[row] != ids[col]
+            row, col = row[other], col[other]
+        parts.append((row, ids[col], exact_pairs(self.q, b, row, col)))
+        if sum(len(p[0]) for p in parts):
+            self._keep(*(np.concatenate(x) for x in zip((self.row, self.id, self.score), *parts, strict=True)))
+
+    def _keep(self, row: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
+        order = np.lexsort((ids, -score, row))
+        row, ids, score = row[order], ids[order], score[order]
+        kept = np.arange(len(row)) - np.searchsorted(row, np.arange(len(self.q)))[row] < self.k
+        self.row, self.id, self.score = row[kept], ids[kept], score[kept]
+        full = np.bincount(self.row, minlength=len(self.q)) == self.k
+        least = np.searchsorted(self.row, np.arange(len(self.q)), side="right") - 1
+        self.floor[full] = self.score[least[full]] - self.margin
+
+    def found(self) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(self.ids[self.row]), pa.array(self.id), pa.array(self.score)], names=["query_id", "id", "score"])
 
 
 def knn_cosine(queries: DataFrame, base: DataFrame, k: int, query_id: str, base_id: str, vector: str = "embedding", block: int = BLOCK, skip_self: bool = False) -> DataFrame:
     """(query_id, id, score, rank): the k most similar base rows of every query, scores to six places, ties by id.
 
-    Both sides are cut into blocks; each pair of blocks is one matrix product that keeps k rows
-    a query, and only those are shuffled and ranked. Blocks meet where they lie, without an
-    exchange of the pairs.
+    Queries are cut into groups of about GROUP bytes and the base into parts, so that there are
+    about TASKS pairs of the two or more; each pair is a task that holds the group and lets the
+    part pass by, block rows at a time, and only k rows a query and part are shuffled and ranked.
+    Every pair of vectors is still compared, so the work is quadratic.
     """
+    vectors = lambda df, name: df.where(f"`{vector}` is not null and `{name}` is not null").select(F.col(name).cast("bigint").alias("id"), F.col(vector).cast(kind).alias("v"))
+    kind = "array<float>" if {df.schema[vector].dataType.simpleString() for df in (queries, base)} == {"array<float>"} else "array<double>"
+    asked, own = vectors(queries, query_id), vectors(base, base_id)
+    n_asked, size = asked.agg(F.count("*"), F.max(F.size("v"))).first()
+    groups = max(1, -(-n_asked * 8 * max(1, size or 0) // GROUP), -(-n_asked // (64 * block)))
+    parts = max(1, min(-(-TASKS // groups), own.count() // (2 * block)))
+    spread = lambda n, column: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(column)
+    cell = (F.col("g") * parts + F.col("p")).cast("int").alias("cell")
+    q = asked.select(F.lit(0).alias("side"), "id", "v", F.pmod(F.xxhash64("id"), F.lit(groups)).alias("g"), spread(parts, "p"))
+    b = own.select(F.lit(1).alias("side"), "id", "v", spread(groups, "g"), F.pmod(F.xxhash64("id"), F.lit(parts)).alias("p"))
+    both = q.select(cell, "side", "id", "v").unionByName(b.select(cell, "side", "id", "v")).repartitionById(groups * parts, "cell").sortWithinPartitions("side")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, held, tiles = [], [], None
         for batch in batches:
-            for r in range(len(batch)):
-                (qi, qv, bi, bv) = (batch.column(c)[r].values.to_numpy() for c in ("q_ids", "q_values", "b_ids", "b_values"))
-                yield top_pairs(qi, qv.reshape(len(qi), -1), bi, bv.reshape(len(bi), -1), k, skip_self)
-
-    pairs = _blocks(queries, "q", query_id, vector, block).crossJoin(_blocks(base, "b", base_id, vector, block))
-    found = pairs.select("q_ids", "q_values", "b_ids", "b_values").mapInArrow(run, "query_id bigint, id bigint, score double")
-    return ranked(found, k)
+            n = int(np.count_nonzero(batch.column("side").to_numpy() == 0))
+            if n:
+                ids.append(batch.column("id").slice(0, n).to_numpy())
+                held.append(batch.column("v").slice(0, n).flatten().to_numpy().reshape(n, -1))
+            if n == len(batch) or not ids:
+                continue
+            if tiles is None:
+                qi, qv = np.concatenate(ids), np.concatenate(held)
+                held.clear()
+                tiles = [Nearest(qi[i : i + block], qv[i : i + block].astype(np.float64), k, skip_self) for i in range(0, len(qi), block)]
+            for at in range(n, len(batch), block):
+                some = batch.slice(at, block)
+                bi, bv = some.column("id").to_numpy(), some.column("v").flatten().to_numpy().reshape(len(some), -1).astype(np.float64)
+                real = ~np.isinf(np.linalg.norm(bv, axis=1))  # a score that is no number is no match
+                bi, bv = bi[real], bv[real]
+                short = unit(bv).astype(np.float32)
+                for tile in tiles:
+                    tile.add(bi, bv, short)
+        for tile in tiles or ():
+            yield tile.found()
+
+    return ranked(both.mapInArrow(released(run), "query_id bigint, id bigint, score double"), k)
 
 
 def unit(v: np.ndarray) -> np.ndarray:
