@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
+
 CHECKBOX = re.compile(":(?:un)?selected:")
 SEPARATOR = re.compile(r"\|[\s|:-]+\|")
 
@@ -139,3 +142,19 @@ def second_rows(theirs: list[list[str]], rows: list[tuple[int | None, list]], te
             span = spans[nth][i] or (nth + 1 < len(lines) and spans[nth + 1][i])
             last[i] = line[i] = (layouts[nth][i].strip() if span else "") or line[i] or last[i]
     return [(row, line, polygons) for (row, polygons), line in zip(places, lines, strict=True)]
+
+
+def plain_values(column: pa.Array) -> list:
+    """The values as Python's; numbers and strings without a step for each."""
+    if pa.types.is_list(column.type):
+        if not len(column.flatten()):
+            return [None if x else [] for x in column.is_null().to_pylist()]
+        return column.to_pylist()
+    if column.null_count == len(column):
+        return [None] * len(column)
+    if column.null_count and (pa.types.is_integer(column.type) or pa.types.is_floating(column.type)):
+        out = column.fill_null(0).to_numpy(zero_copy_only=False).tolist()
+        for i in np.flatnonzero(column.is_null().to_numpy(zero_copy_only=False)).tolist():
+            out[i] = None
+        return out
+    return column.to_numpy(zero_copy_only=False).tolist()

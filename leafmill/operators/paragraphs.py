@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from leafmill.config import DEFAULT, Config
 from leafmill.functions.geometry import union_polygon
-from leafmill.functions.text import paragraph_chunk_id, strip, token_count
+from leafmill.functions.grids import plain_values
+from leafmill.functions.text import paragraph_chunk_id
+from leafmill.llm.common import pieces, released
 
 
 def band_first(left: DataFrame, right: DataFrame, keys: list[str], at: str, reach: int, order: list[str], value: str) -> DataFrame:
@@ -67,31 +78,99 @@ def window_ranges(tokens: Column, limit: int, overlap: int) -> Column:
     return F.aggregate(items, start, step, finish)
 
 
+def windows(tokens: list[int], limit: int, overlap: int) -> list[tuple[int, int, int]]:
+    """window_ranges() of one list."""
+    out, lo, polygons, total = [], 0, 0, 0
+    for i, t in enumerate(tokens):
+        total += t
+        if total >= limit:
+            out.append((lo, i, polygons))
+            n = total = 0
+            while n <= i - lo and total + tokens[i - n] <= overlap:
+                total += tokens[i - n]
+                n += 1
+            lo, polygons = i + 1 - n, i
+    return out + ([(lo, len(tokens) - 1, polygons)] if lo < len(tokens) else [])
+
+
+class _Chunks:
+    """Rows of chunks by column, from one document's paragraphs at a time."""
+
+    def __init__(self, schema: pa.Schema, config: Config):
+        self.schema, self.limit, self.overlap = schema, config.chunk_tokens, config.overlap_tokens
+        self.columns: list[list] = [[] for _ in schema]
+
+    def add(self, doc: object, rows: list[tuple]) -> None:
+        """rows: (doc_id, source_file, page, offset, content, polygon) in order."""
+        runs, island, before = {}, 0, None
+        for _, file, page, offset, content, polygon in rows:
+            words = content.split()
+            if words:
+                island += before is not None and page is not None and page != before[0]
+                before = (page,) if page is not None else None
+                runs.setdefault((file, page, island), []).append((offset, content.strip(), polygon, len(words)))
+        for (file, page, _), items in runs.items():
+            for lo, hi, polygons in windows([x[3] for x in items], self.limit, self.overlap):
+                part = items[lo : hi + 1]
+                values = (doc, file, page, part[0][0], " ".join(x[1] for x in part), [x[2] for x in items[polygons : hi + 1] if x[2]], len(part), sum(x[3] for x in part))
+                for column, v in zip(self.columns, values, strict=True):
+                    column.append(v)
+
+    def taken(self) -> pa.RecordBatch:
+        batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(self.columns, self.schema, strict=True)], schema=self.schema)
+        self.columns = [[] for _ in self.schema]
+        return batch
+
+
 def paragraph_chunks(paragraphs: DataFrame, config: Config = DEFAULT) -> DataFrame:
     """(doc_id, source_file, ord, role, content, page, offset, polygon) to chunks, with the number of paragraphs and tokens.
 
-    One shuffle by document; each run of a page is folded in the JVM. Roles of page furniture
-    and blank paragraphs are left out before the runs are made.
+    One shuffle by document and one sort; then a document at a time is cut into runs of a page
+    and each run folded. Roles of page furniture and blank paragraphs are left out before the
+    runs are made.
     """
-    own = paragraphs.where(~F.coalesce("role", F.lit("")).isin(*config.noise_roles)).withColumn("content", strip(F.col("content"))).where("content <> ''")
-    w = Window.partitionBy("doc_id").orderBy("ord")
-    own = own.withColumn("island", F.sum(F.coalesce((F.col("page") != F.lag("page").over(w)).cast("int"), F.lit(0))).over(w))
-    item = F.struct("ord", F.coalesce("offset", F.lit(0)).alias("offset"), "content", "polygon", token_count(F.col("content")).alias("tokens"))
-    runs = own.groupBy("doc_id", "source_file", "page", "island").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    each = runs.withColumn("r", F.explode(window_ranges(F.transform("items", lambda x: x["tokens"]), config.chunk_tokens, config.overlap_tokens)))
-    part = F.slice("items", F.col("r.lo") + 1, F.col("r.hi") - F.col("r.lo") + 1)
-    area = F.slice("items", F.col("r.plo") + 1, F.col("r.hi") - F.col("r.plo") + 1)
-    return each.withColumn("part", part).select(
-        paragraph_chunk_id(F.col("doc_id"), F.col("page"), F.get("part", F.lit(0))["offset"]).alias("chunk_id"), F.lit("paragraph").alias("type"), F.lit("layout").alias("source"), "source_file",
-        F.array_join(F.transform("part", lambda x: x["content"]), " ").alias("text_for_embedding"), F.lit(None).cast("string").alias("image_blob"), F.col("doc_id").alias("document_id"), "page",
-        union_polygon(F.transform(area, lambda x: x["polygon"])).alias("bounding_polygon"), F.lit(None).cast("int").alias("table_index"), F.lit(None).cast("int").alias("row_index"), F.lit(None).cast("int").alias("figure_index"),
-        F.size("part").alias("n_paragraphs"), F.aggregate(F.transform("part", lambda x: x["tokens"]), F.lit(0), lambda a, t: a + t).alias("tokens"),
+    own = paragraphs.where(~F.coalesce("role", F.lit("")).isin(*config.noise_roles)).where("content is not null")
+    own = own.select("doc_id", "source_file", "page", F.coalesce("offset", F.lit(0)).cast("bigint").alias("offset"), "content", "polygon", "ord")
+    kind = {f.name: f.dataType.simpleString() for f in own.schema}
+    out = f"doc_id {kind['doc_id']}, source_file string, page {kind['page']}, offset bigint, text string, polygons array<array<double>>, n_paragraphs int, tokens int"
+    schema = to_arrow_schema(StructType.fromDDL(out))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks, doc, held = _Chunks(schema, config), None, []
+        for batch in batches:
+            for of, rows in groupby(zip(*[plain_values(batch.column(i)) for i in range(6)], strict=True), key=itemgetter(0)):
+                if held and of != doc:
+                    chunks.add(doc, held)
+                    held = []
+                doc = of
+                held.extend(rows)
+            yield chunks.taken()
+        if held:
+            chunks.add(doc, held)
+        yield chunks.taken()
+
+    made = own.repartition("doc_id").sortWithinPartitions("doc_id", "ord", "offset", "content").mapInArrow(released(run), out)
+    return made.select(
+        paragraph_chunk_id(F.col("doc_id"), F.col("page"), F.col("offset")).alias("chunk_id"), F.lit("paragraph").alias("type"), F.lit("layout").alias("source"), "source_file",
+        F.col("text").alias("text_for_embedding"), F.lit(None).cast("string").alias("image_blob"), F.col("doc_id").alias("document_id"), "page",
+        union_polygon(F.col("polygons")).alias("bounding_polygon"), F.lit(None).cast("int").alias("table_index"), F.lit(None).cast("int").alias("row_index"), F.lit(None).cast("int").alias("figure_index"),
+        "n_paragraphs", "tokens",
     )
 
 
 def text_paragraphs(docs: DataFrame, per_page: int = 20) -> DataFrame:
-    """Plain texts as paragraphs: lines with their offsets; per_page lines make a page."""
-    lines = docs.where("text is not null").select(F.col("doc_id").cast("string").alias("doc_id"), F.posexplode(F.split("text", "\n", -1)).alias("ord", "content"))
-    w = Window.partitionBy("doc_id").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
-    offset = F.coalesce(F.sum(F.length("content") + 1).over(w), F.lit(0)).cast("int")
-    return lines.withColumn("offset", offset).select("doc_id", F.concat("doc_id", F.lit(".txt")).alias("source_file"), "ord", F.lit("").alias("role"), "content", (F.floor(F.col("ord") / per_page) + 1).cast("int").alias("page"), "offset", F.array().cast("array<double>").alias("polygon"))
+    """Plain texts as paragraphs: lines with their offsets; per_page lines make a page. Texts are cut where they lie."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            lines = pc.split_pattern(batch.column("text"), "\n")
+            n = lines.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            first, flat = np.cumsum(n) - n, lines.flatten()
+            doc = np.repeat(np.arange(len(n)), n)
+            size = pc.utf8_length(flat).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+            start = np.cumsum(size) - size
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(doc)), pa.array((np.arange(len(doc)) - first[doc]).astype(np.int32)), flat.cast(pa.string()), pa.array((start - start[first][doc]).astype(np.int32))], names=["doc_id", "ord", "content", "offset"])
+
+    own = docs.where("text is not null").select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    lines = own.mapInArrow(released(run), "doc_id string, ord int, content string, offset int")
+    return lines.select("doc_id", F.concat("doc_id", F.lit(".txt")).alias("source_file"), "ord", F.lit("").alias("role"), "content", (F.floor(F.col("ord") / per_page) + 1).cast("int").alias("page"), "offset", F.array().cast("array<double>").alias("polygon"))

@@ -8,7 +8,6 @@ from functools import reduce
 from itertools import groupby
 from operator import itemgetter
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -229,22 +228,6 @@ _PART = "part int, doc_id {}, table_index int, page int, local_index int, cell i
 _TABLE, _CELL, _MARKDOWN, _CONFIDENCE, _LEAD = range(5)
 
 
-def _plain(column: pa.Array) -> list:
-    """The values as Python's; numbers and strings without a step for each."""
-    if pa.types.is_list(column.type):
-        if not len(column.flatten()):
-            return [None if x else [] for x in column.is_null().to_pylist()]
-        return column.to_pylist()
-    if column.null_count == len(column):
-        return [None] * len(column)
-    if column.null_count and (pa.types.is_integer(column.type) or pa.types.is_floating(column.type)):
-        out = column.fill_null(0).to_numpy(zero_copy_only=False).tolist()
-        for i in np.flatnonzero(column.is_null().to_numpy(zero_copy_only=False)).tolist():
-            out[i] = None
-        return out
-    return column.to_numpy(zero_copy_only=False).tolist()
-
-
 def _read_document(doc: object, parts: list[tuple]) -> Iterator[dict]:
     """One row of doc_id and _READ for each table of a document; parts: rows of _PART without part and doc_id."""
     own, cells, markdown, sure, leads = [], {}, {}, {}, {}
@@ -312,7 +295,7 @@ def both_readings(layout_tables: DataFrame, cells: DataFrame, paragraphs: DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc, held, done, size = None, [], [], 0
         for batch in batches:
-            values = zip(*[_plain(c) for c in batch.columns], strict=True)
+            values = zip(*[grids.plain_values(c) for c in batch.columns], strict=True)
             for of, rows in groupby(values, key=itemgetter(1)):
                 if held and of != doc:
                     done.extend(_read_document(doc, held))
