@@ -11,9 +11,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.functions.text import base_name
-from leafmill.llm.common import released
+from leafmill.llm.common import pieces, released
 
 BLOCK, QUERIES, DOCS = 2048, 2048, 1024
+#: Bytes of text that a worker splits into terms at a time, or one text.
+TEXT = 1 << 20
 #: Bytes of the vectors of a group of queries, and the least number of tasks of an exact search over a large base.
 GROUP, TASKS = 1 << 24, 48
 
@@ -50,6 +52,14 @@ def top_pairs(qi: np.ndarray, q: np.ndarray, bi: np.ndarray, b: np.ndarray, k: i
     return pa.RecordBatch.from_arrays([pa.array(qi[row]), pa.array(bi[col]), pa.array(score)], names=["query_id", "id", "score"])
 
 
+def kept_best(row: np.ndarray, ids: np.ndarray, score: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k entries of highest score of each of n rows, ties by id, in order."""
+    order = np.lexsort((ids, -score, row))
+    row, ids, score = row[order], ids[order], score[order]
+    kept = np.arange(len(row)) - np.searchsorted(row, np.arange(n))[row] < k
+    return row[kept], ids[kept], score[kept]
+
+
 def exact_pairs(q: np.ndarray, b: np.ndarray, row: np.ndarray, col: np.ndarray, at_once: int = 1 << 22) -> np.ndarray:
     """cosines() of the pairs (row, col) alone, about at_once numbers at a time."""
     out, step = np.zeros(len(row)), max(1, at_once // max(1, q.shape[1]))
@@ -103,10 +113,7 @@ class Nearest:
             self._keep(*(np.concatenate(x) for x in zip((self.row, self.id, self.score), *parts, strict=True)))
 
     def _keep(self, row: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
-        order = np.lexsort((ids, -score, row))
-        row, ids, score = row[order], ids[order], score[order]
-        kept = np.arange(len(row)) - np.searchsorted(row, np.arange(len(self.q)))[row] < self.k
-        self.row, self.id, self.score = row[kept], ids[kept], score[kept]
+        self.row, self.id, self.score = kept_best(row, ids, score, len(self.q), self.k)
         full = np.bincount(self.row, minlength=len(self.q)) == self.k
         least = np.searchsorted(self.row, np.arange(len(self.q)), side="right") - 1
         self.floor[full] = self.score[least[full]] - self.margin
@@ -247,8 +254,8 @@ def bm25(queries: DataFrame, docs: DataFrame, query_id: str, doc_id: str, most:
 
     One map over docs counts documents and lengths and the queries' terms, a second one scores:
     the terms' weights and the queries go to the tasks, a block of queries at a time (block of
-    them, whatever the number), each batch keeps most rows a query, and only those are shuffled
-    and ranked. No posting is. Null texts have no terms.
+    them, whatever the number), each task keeps most rows a query, and only those are shuffled
+    and ranked. No posting is. Texts are split about TEXT bytes at a time. Null texts have no terms.
     """
     spark = docs.sparkSession
     own = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
@@ -270,12 +277,12 @@ def _bm25_block(own: DataFrame, some: list, wanted: pa.Array, most: int, k1: flo
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total, df = 0, 0, np.zeros(len(wanted), dtype=np.int64)
-        for batch in batches:
+        for batch in pieces(batches, "text", TEXT):
             length, _, t, _ = term_counts(batch.column("text"), wanted)
             n, total, df = n + len(length), total + int(length.sum()), df + np.bincount(t, minlength=len(df))
         yield pa.RecordBatch.from_arrays([pa.array([-2, -1, *range(len(df))], pa.int32()), pa.array([n, total, *df.tolist()], pa.int64())], names=["what", "n"])
 
-    stats = {r.what: r.n for r in own.mapInArrow(count, "what int, n bigint").groupBy("what").agg(F.sum("n").alias("n")).collect()}  # a row a term
+    stats = {r.what: r.n for r in own.mapInArrow(released(count), "what int, n bigint").groupBy("what").agg(F.sum("n").alias("n")).collect()}  # a row a term
     n, average = stats.get(-2, 0), stats.get(-1, 0) / max(1, stats.get(-2, 0))
     df = np.array([stats.get(i, 0) for i in range(len(wanted))], dtype=np.float64)
     idf = np.log1p((n - df + 0.5) / (df + 0.5))
@@ -283,7 +290,8 @@ def _bm25_block(own: DataFrame, some: list, wanted: pa.Array, most: int, k1: flo
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         has = np.zeros((len(wanted), len(ids)))
         has[term, of] = 1.0
-        for whole in batches:
+        best = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0))
+        for whole in pieces(batches, "text", TEXT):
             for at in range(0, len(whole), DOCS):
                 batch = whole.slice(at, DOCS)
                 length, doc, t, tf = term_counts(batch.column("text"), wanted)
@@ -293,9 +301,13 @@ def _bm25_block(own: DataFrame, some: list, wanted: pa.Array, most: int, k1: flo
                 weight[doc, t] = idf[t] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length[doc] / max(average, 1e-9)))
                 s = (weight @ has).T
                 row, col = best_of(np.where(s > 0, np.round(s, 6), -np.inf), batch.column("id").to_numpy(zero_copy_only=False), most)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[row]), batch.column("id").take(pa.array(col)), pa.array(np.round(s[row, col], 6))], names=["query_id", "id", "score"])
+                best = tuple(np.concatenate(x) for x in zip(best, (row, batch.column("id").to_numpy(zero_copy_only=False)[col], np.round(s[row, col], 6)), strict=True))
+                if len(best[0]) > 4 * most * len(ids):
+                    best = kept_best(*best, len(ids), most)
+        row, found, scores = kept_best(*best, len(ids), most)
+        yield pa.RecordBatch.from_arrays([pa.array(ids[row]), pa.array(found.astype(np.int64)), pa.array(scores)], names=["query_id", "id", "score"])
 
-    return own.where("id is not null").mapInArrow(score, "query_id bigint, id bigint, score double")
+    return own.where("id is not null").mapInArrow(released(score), "query_id bigint, id bigint, score double")
 
 
 def ranked(scores: DataFrame, most: int | None = None) -> DataFrame:

@@ -1,6 +1,7 @@
 """Exact search against every pair, with ties, lengths of nothing, values that are no numbers, and few or many tasks."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from leafmill.operators import search
@@ -54,3 +55,34 @@ def test_no_rows_a_pair_of_blocks(spark):
     e = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(900, 4)))], "vec_id long, embedding array<double>")
     plan = search.knn_cosine(e, e, 3, "vec_id", "vec_id", block=8, skip_self=True)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_terms_take_little_text_at_a_time(monkeypatch):
+    """Both maps of bm25 split about TEXT bytes at a time, however large an Arrow batch is."""
+    seen, real = [], search.term_counts
+
+    class Frame:
+        def __init__(self, maps):
+            self.maps = maps
+
+        sparkSession = None
+
+        def where(self, _):
+            return self
+
+        def mapInArrow(self, f, schema):  # noqa: N802  Spark's name
+            self.maps.append(f)
+            return self
+
+        groupBy = agg = lambda self, *_: self
+        collect = lambda self: []
+
+    monkeypatch.setattr(search, "term_counts", lambda texts, wanted: (seen.append(sum(len(t or "") for t in texts.to_pylist())), real(texts, wanted))[1])
+    monkeypatch.setattr(search, "F", __import__("types").SimpleNamespace(sum=lambda _: __import__("types").SimpleNamespace(alias=lambda _: None)))
+    maps = []
+    search._bm25_block(Frame(maps), [(1, ["a"])], pa.array(["a"]), 2, 1.2, 0.75)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array(["a b " * 30_000, None] * 20)], names=["id", "text"])
+    for f in maps:
+        out = list(f(iter([batch])))
+        assert out and len(maps) == 2
+    assert max(seen) <= search.TEXT and sum(seen) == 2 * 20 * 120_000
